@@ -39,16 +39,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, computed once and kept in the shared folder, so that a lost executor costs no rework."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def scratch_table(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for a table in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """The rows of ``df`` as a table written to the shared folder.
+
+    They are computed once, a lost executor costs no rework, and later plans know the table's size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
