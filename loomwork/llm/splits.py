@@ -58,7 +58,7 @@ def contract(edges: DataFrame, seed: int = 17) -> DataFrame:
     for into in reversed(maps):
         known = reduce(DataFrame.unionByName, done).select(F.col("vertex").alias("to"), "root")
         done.append(cut(into.join(known, "to", "left").select(F.col("u").alias("vertex"), F.coalesce("root", "to").alias("root")), "roots"))
-    collapsed = reduce(DataFrame.unionByName, done)
+    collapsed = cut(reduce(DataFrame.unionByName, done), "collapsed")
     roots = collapsed.select(F.col("root").alias("vertex"), F.col("root")).distinct().join(collapsed.select("vertex"), "vertex", "left_anti")
     return collapsed.unionByName(roots)
 
@@ -73,21 +73,21 @@ def related_groups(records: DataFrame, id_col: str, keys: Sequence[str]) -> Data
     """
     names = [f"k{i}" for i in range(len(keys))]
     rows = records.select(F.col(id_col).alias("id"), *[key_or_null(F.col(k)).alias(n) for k, n in zip(keys, names)])
-    rows = rows.filter(F.col("id").isNotNull()).distinct()
+    rows = cut(rows.filter(F.col("id").isNotNull()).distinct(), "keyed")
     for i, n in enumerate(names):
         least = rows.filter(F.col(n).isNotNull()).groupBy(n).agg(F.min("id").alias(f"r{i}"))
-        rows = skew_join(rows, least, n, "left")
+        rows = cut(skew_join(rows, cut(least, "least"), n, "left").drop(n), "keyed")
     reps = [f"r{i}" for i in range(len(keys))]
-    rows = cut(rows.select("id", *reps, F.coalesce(*reps, F.col("id")).alias("anchor")), "anchors")
+    rows = rows.select("id", *reps, F.coalesce(*reps, F.col("id")).alias("anchor"))
 
     repeated = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("id")
     edges = rows.join(repeated, "id", "left_semi").select(F.col("id").alias("a"), F.col("anchor").alias("b"))
     for r in reps:
         edges = edges.unionByName(rows.filter(F.col(r).isNotNull()).select(F.col("anchor").alias("a"), F.col(r).alias("b")).distinct())
-    labels = contract(edges)
-    smallest = labels.groupBy("root").agg(F.min("vertex").alias("group_id"))
+    labels = cut(contract(edges), "labels")
+    smallest = cut(labels.groupBy("root").agg(F.min("vertex").alias("group_id")), "smallest")
     names_of = cut(skew_join(labels, smallest, "root").select(F.col("vertex").alias("anchor"), "group_id"), "labels")
-    found = skew_join(rows.select("id", "anchor").dropDuplicates(["id"]), names_of, "anchor", "left")
+    found = skew_join(cut(rows.select("id", "anchor").dropDuplicates(["id"]), "ids"), names_of, "anchor", "left")
     return found.select(F.col("id").alias(id_col), F.coalesce("group_id", "anchor").alias("group_id"))
 
 
@@ -95,7 +95,8 @@ def torn_groups(records: DataFrame, id_col: str, groups: DataFrame, fold: str, n
     """(id, group_id) of all records of the groups that hold more than one fold; null and ``no_folds`` are no folds."""
     folds = records.select(id_col, F.col(fold).alias("fold")).filter(F.col("fold").isNotNull() & ~F.col("fold").isin(*no_folds)).distinct()
     held = folds.join(groups, id_col).groupBy("group_id").agg(F.min("fold").alias("lo"), F.max("fold").alias("hi"))
-    return skew_join(groups, held.filter(F.col("lo") != F.col("hi")).select("group_id"), "group_id").select(id_col, "group_id")
+    torn = cut(held.filter(F.col("lo") != F.col("hi")).select("group_id"), "torn")
+    return skew_join(groups, torn, "group_id").select(id_col, "group_id")
 
 
 def assign_splits(groups: DataFrame, id_col: str, targets: DataFrame) -> DataFrame:
