@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import frequency, mixing, overlap, quantiles, splits, tokens
+from loomwork.llm import frequency, mixing, overlap, quantiles, sentences, splits, tokens
 from loomwork.operators import packed
 from loomwork.session import cut, read
 
@@ -120,9 +120,19 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture_shares(cut(mixed, "mixed"), targets)
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").join(read(spark, folder, "sentence_docs").distinct(), "doc_id", "left_semi")
+    return sentences.sentence_units(documents)
+
+
+def p10_units(spark: SparkSession, folder: str) -> DataFrame:
+    """The units of all documents."""
+    return sentences.sentence_units(read(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_splits, p2_split_shares, p5_found, p5_report, p6_percentiles, p6_merged_years, p6_rank_check, p8_ids, p9_mixture, p9_shares)
+    for f in (p1_found, p1_counts, p2_found, p2_splits, p2_split_shares, p5_found, p5_report, p6_percentiles, p6_merged_years, p6_rank_check, p8_ids, p9_mixture, p9_shares, p10_found, p10_units)
 }
 
 _P1 = r"""
