@@ -54,5 +54,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def wide(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by hash of ``keys`` in as many partitions as shuffles have.
+
+    For rows that are few bytes but much work, which adaptive execution would gather in one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
