@@ -14,11 +14,12 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.session import cut
+
 # What may part two values, what may quote one, what may enclose a list. White space is one delimiter.
 DELIMITERS = ",;|/、，；•"
 BLANK = " "
@@ -128,21 +129,20 @@ def code_lengths(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     The result has at most 3 * MOST_DIGITS + 1 entries, whatever the data; the counting is Spark's.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, float] = {}
         for batch in batches:
-            for column in columns:
-                for text in batch[column]:
+            for column in batch.columns:
+                for text in column.to_pylist():
                     if text is None:
                         continue
                     each = list(parses(text))
                     for _, pieces in each:
                         for form, _, _ in pieces:
                             seen[form] = seen.get(form, 0.0) + 1 / len(each)
-        yield pd.DataFrame({"form": list(seen), "n": list(seen.values())})
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.float64())], ["form", "n"])
 
-    texts = df.select(*columns)
-    rows = texts.mapInPandas(count, "form string, n double").groupBy("form").agg(F.sum("n").alias("n")).collect()
+    rows = df.select(*columns).mapInArrow(count, "form string, n double").groupBy("form").agg(F.sum("n").alias("n")).collect()
     total = sum(r.n for r in rows)
     return {r.form: -math.log2(r.n / total) for r in rows}
 
@@ -184,7 +184,7 @@ def value_rows(df: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
     Positions count from 0. Where ``vals`` is shorter, ``val`` is null; values beyond the end of ``feats`` are left
     out. A key that comes with several different contents yields each distinct row once.
     """
-    sets = unpack_pairs(df, key, feats, vals)
+    sets = cut(unpack_pairs(df, key, feats, vals), "unpacked")
     several = sets.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(key)
 
     def rows(d: DataFrame) -> DataFrame:
