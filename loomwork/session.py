@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,26 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors, once in a session, so that they need no installation.
+
+    The archive is written where the driver runs; Spark hands it to the executors.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
 
