@@ -5,8 +5,8 @@ encoded values fall into intervals; a sketch keeps the number of values in each
 intervals and in a signed Count-sketch beyond. All counters are sums, so sketches of other days, files or salts are
 merged by addition, and deleted rows are taken off with weight -1. A rank is inverted by descending the levels.
 
-A sketch is a table (group, level, slots, counts): for each level the counters that aren't zero. It holds at most
-``MOST_COUNTERS`` counters for a group, however many values that has.
+A sketch is a row (group, n_values, counters) with the counters that aren't zero, packed by ``pack``. It holds at most
+``COUNTERS`` of them, however many values the group has.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.skew import heavy_keys
+from loomwork.session import wide
 
 #: Bits of an encoded value: sign, 11 of exponent, 16 of fraction, so a value is off by at most 2^-16 of itself.
 BITS = 28
@@ -26,7 +27,9 @@ VALUE_ERROR = 2.0**-16
 #: Counters in a row of a Count-sketch, and rows; levels with up to EXACT intervals have a counter for each.
 WIDTH, ROWS = 256, 5
 EXACT = 1024
-MOST_COUNTERS = 2 * EXACT + (BITS - 10) * WIDTH * ROWS
+EXACT_LEVELS = EXACT.bit_length() - 1
+SKETCHED = BITS - EXACT_LEVELS
+COUNTERS = 2 * EXACT - 1 + SKETCHED * WIDTH * ROWS
 #: Salts that a heavy group is built under, in parallel.
 SALTS = 8
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -40,77 +43,95 @@ def encode(values: np.ndarray) -> np.ndarray:
 
 
 def decode(codes: np.ndarray) -> np.ndarray:
-    """The middle of the values with each code."""
+    """The middle of the values with each code; numbers too small for full precision come out as 0."""
     shift = np.uint64(64 - BITS)
     ordered = (codes.astype(np.uint64) << shift) | np.uint64(1 << (63 - BITS))
     raw = np.where(ordered >> np.uint64(63) == 1, ordered & np.uint64(2**63 - 1), ~ordered)
-    return raw.view(np.float64)
+    values = raw.view(np.float64)
+    return np.where(np.abs(values) < np.finfo(np.float64).tiny, 0.0, values)
 
 
-def _slots(level: int, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counter and sign of the intervals ``items`` at ``level``, one row of each array per row of the sketch."""
-    if level <= EXACT.bit_length() - 1:
-        return items.astype(np.int64)[None, :], np.ones((1, len(items)), np.int64)
+def _mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = (items.astype(np.uint64) + np.uint64(level << 40))[None, :] + _SEEDS[:ROWS, None]
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
             x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-        x ^= x >> np.uint64(31)
-    column = ((x >> np.uint64(1)) % np.uint64(WIDTH)).astype(np.int64)
-    return column + np.arange(ROWS)[:, None] * WIDTH, np.where(x & np.uint64(1), 1, -1)
-
-
-def _size(level: int) -> int:
-    return 1 << level if level <= EXACT.bit_length() - 1 else WIDTH * ROWS
+        return x ^ (x >> np.uint64(31))
 
 
-def sketch(codes: np.ndarray, weights: np.ndarray) -> dict[int, np.ndarray]:
-    """The counters of each level; level l tells the first l bits of a code apart."""
-    order = np.argsort(codes, kind="stable")
-    out, items, sums = {}, codes[order], weights[order].astype(np.float64)
-    for level in range(BITS, 0, -1):
-        if level < BITS:
-            items = items >> np.uint64(1)
-        starts = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
-        items, sums = items[starts], np.add.reduceat(sums, starts)
-        slots, signs = _slots(level, items)
-        out[level] = np.bincount(slots.ravel(), (signs * sums).ravel(), _size(level)).astype(np.int64)
+def _slots(levels: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counters and signs, one row of the sketch after the other, of intervals ``items`` at sketched ``levels``."""
+    seeds = _SEEDS.reshape(-1, *[1] * items.ndim)
+    with np.errstate(over="ignore"):
+        x = _mix((items + (levels.astype(np.uint64) << np.uint64(40)))[None] + seeds)
+    column = ((x >> np.uint64(1)) % np.uint64(WIDTH)).astype(np.int64)
+    base = 2 * EXACT - 1 + (levels.astype(np.int64) - EXACT_LEVELS - 1) * (WIDTH * ROWS)
+    rows = np.arange(ROWS).reshape(-1, *[1] * items.ndim) * WIDTH
+    return base[None] + rows + column, np.where(x & np.uint64(1), 1, -1)
+
+
+def sketch(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """All counters; level l tells the first l bits of a code apart, and its exact counters follow those of level l-1."""
+    out = np.zeros(COUNTERS, np.int64)
+    out[0] = weights.sum()
+    if len(codes) > 256:
+        order = np.argsort(codes, kind="stable")
+        items, sums = codes[order], weights[order]
+        for level in range(BITS, 0, -1):
+            if level < BITS:
+                items = items >> np.uint64(1)
+            starts = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
+            items, sums = items[starts], np.add.reduceat(sums, starts)
+            if level > EXACT_LEVELS:
+                slots, signs = _slots(np.full(len(items), level), items)
+                np.add.at(out, slots.ravel(), (signs * sums).ravel())
+            else:
+                out[(1 << level) - 1 + items.astype(np.int64)] += sums
+        return out
+    levels = np.arange(1, BITS + 1)
+    items = codes[None, :] >> (BITS - levels).astype(np.uint64)[:, None]
+    low = items[:EXACT_LEVELS].astype(np.int64) + ((1 << levels[:EXACT_LEVELS]) - 1)[:, None]
+    np.add.at(out, low.ravel(), np.tile(weights, EXACT_LEVELS))
+    high = items[EXACT_LEVELS:]
+    slots, signs = _slots(np.broadcast_to(levels[EXACT_LEVELS:, None], high.shape), high)
+    np.add.at(out, slots.ravel(), (signs * weights).ravel())
     return out
 
 
-def descend(levels: dict[int, np.ndarray], total: int, shares: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+def descend(counters: np.ndarray, shares: Sequence[float]) -> tuple[np.ndarray, float]:
     """The codes at the given shares of the ranks, and the bound on how far their ranks may be off, in rows.
 
-    The bound adds over the sketched levels three standard deviations of the median of the rows' estimates. They come
-    from the sketch's own second moment there without its WIDTH / 8 largest counters, as intervals that large stand
-    alone in some row; levels with exact counters add nothing.
+    The bound adds over the sketched levels four standard deviations of the median of the rows' estimates. They come
+    from the sketch's own second moment there without its WIDTH / 32 largest counters: so few intervals meet another
+    one in most rows only once in some thousand cases. Levels with exact counters add nothing.
     """
+    total = int(counters[0])
     target = np.ceil(np.asarray(shares) * total).clip(1, total)
-    at, before, error = np.zeros(len(shares), np.uint64), np.zeros(len(shares)), 0.0
+    at, before = np.zeros(len(shares), np.uint64), np.zeros(len(shares), np.int64)
     for level in range(1, BITS + 1):
-        counters, left = levels.get(level), at << np.uint64(1)
-        if counters is None:
-            counters = np.zeros(_size(level), np.int64)
-        slots, signs = _slots(level, left)
-        estimate = np.median(counters[slots] * signs, axis=0).clip(0, None)
+        left = at << np.uint64(1)
+        if level > EXACT_LEVELS:
+            slots, signs = _slots(np.full(len(left), level), left)
+            estimate = np.sort(counters[slots] * signs, axis=0)[ROWS // 2].clip(0, None)
+        else:
+            estimate = counters[(1 << level) - 1 + left.astype(np.int64)]
         right = target > before + estimate
         before = np.where(right, before + estimate, before)
         at = left | right.astype(np.uint64)
-        if len(slots) > 1:
-            squares = np.sort(counters.reshape(ROWS, WIDTH).astype(float) ** 2, axis=1)
-            moment = np.median(squares[:, : WIDTH - WIDTH // 8].sum(axis=1))
-            error += moment / WIDTH
-    spread = 3 * 1.2533 * np.sqrt(error / ROWS)
-    return at, np.full(len(shares), min(float(total), np.ceil(spread) + (error > 0)))
+    if total <= WIDTH // 32:
+        return at, 0.0
+    squares = counters[2 * EXACT - 1 :].reshape(SKETCHED, ROWS, WIDTH).astype(float) ** 2
+    rest = WIDTH - WIDTH // 32
+    moments = np.partition(squares, rest - 1, axis=2)[:, :, :rest].sum(axis=2)
+    error = np.sort(moments, axis=1)[:, ROWS // 2].sum() / WIDTH
+    return at, min(float(total), np.ceil(4 * 1.2533 * np.sqrt(error / ROWS)) + (error > 0))
 
 
 def build(values: DataFrame, group: str, value: str, weight: Column | None = None, salts: int = SALTS) -> DataFrame:
-    """The sketch table (group, level, slots, counts) of the finite values of each group; level 0 is the number of values.
+    """The sketches (group, n_values, counters) of the finite values of each group.
 
     Values of one group are brought together under one key, those of heavy groups under ``salts`` keys, and streamed
-    through one sketch each; a heavy group thus gives several rows for a level, which add up. Null, NaN and infinite
-    values and null groups take no part. ``weight`` is 1 for a row, -1 for its deletion. An empty table gives an empty
-    sketch.
+    through one sketch each; a heavy group thus gives several rows, which add up. Null, NaN and infinite values and
+    null groups take no part. ``weight`` is 1 for a row, -1 for its deletion. An empty table gives no sketches.
     """
     v = F.col(value).cast("double")
     w = (F.lit(1) if weight is None else weight).cast("long").alias("w")
@@ -121,77 +142,105 @@ def build(values: DataFrame, group: str, value: str, weight: Column | None = Non
     flagged = rows.withColumn("s", salt).join(F.broadcast(heavy), F.col("g") == F.col("hg"), "left")
     keyed = flagged.select("g", F.when(F.col("hg").isNotNull(), F.col("s")).otherwise(F.lit(0)).alias("s"), "v", "w")
     kind = rows.schema["g"].dataType.simpleString()
-    parts = keyed.repartition("g", "s").sortWithinPartitions("g", "s").mapInArrow(_sketches, f"g {kind}, {_COUNTERS}")
+    parts = wide(keyed, "g", "s").sortWithinPartitions("g", "s").mapInArrow(_sketches, f"g {kind}, {_COUNTERS}")
     return parts.withColumnRenamed("g", group)
 
 
-_COUNTERS = "level int, slots array<int>, counts array<bigint>"
-_SPARSE = [("level", pa.int32()), ("slots", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))]
+_COUNTERS = "n_values bigint, counters binary"
+#: Sketches that are passed on together.
+_TOGETHER = 64
+_SIZES = (np.int8, np.int16, np.int32, np.int64)
+
+
+def pack(counters: np.ndarray) -> bytes:
+    """The counters that aren't zero, as gaps between their slots and counts of the fewest bytes, compressed."""
+    used = np.flatnonzero(counters)
+    counts = counters[used]
+    most = int(np.abs(counts).max(initial=0))
+    code = next(i for i, t in enumerate(_SIZES) if most <= np.iinfo(t).max)
+    raw = np.diff(used, prepend=0).astype("<u2").tobytes() + counts.astype(np.dtype(_SIZES[code]).newbyteorder("<")).tobytes()
+    return bytes([code]) + len(used).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def add_packed(packed: bytes, counters: np.ndarray) -> None:
+    """Adds the packed counters to ``counters``."""
+    kind, n = np.dtype(_SIZES[packed[0]]).newbyteorder("<"), int.from_bytes(packed[1:5], "little")
+    raw = pa.decompress(packed[5:], decompressed_size=n * (2 + kind.itemsize), codec="zstd", asbytes=True)
+    slots = np.cumsum(np.frombuffer(raw, "<u2", n), dtype=np.int64)
+    counters[slots] += np.frombuffer(raw, kind, n, 2 * n)
+
+
+def _batch(keys: list, kind: pa.DataType, sketches: list[np.ndarray]) -> pa.RecordBatch:
+    columns = [pa.array(keys, kind), pa.array([int(c[0]) for c in sketches]), pa.array([pack(c) for c in sketches], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["g", "n_values", "counters"])
 
 
-def _sparse(key, kind: pa.DataType, levels: dict[int, np.ndarray]) -> pa.RecordBatch:
-    used = {at: np.flatnonzero(c) for at, c in levels.items()}
-    columns = [[key] * len(levels), list(levels), [u.astype(np.int32) for u in used.values()], [levels[at][u] for at, u in used.items()]]
-    schema = pa.schema([("g", kind), *_SPARSE])
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+def _together(found: Iterator[tuple[object, pa.DataType, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    keys, sketches, kind = [], [], None
+    for key, kind, counters in found:
+        keys.append(key)
+        sketches.append(counters)
+        if len(keys) == _TOGETHER:
+            yield _batch(keys, kind, sketches)
+            keys, sketches = [], []
+    if keys:
+        yield _batch(keys, kind, sketches)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One sketch at a time, as the rows come by group and salt."""
-    now, held, kind = None, {}, None
-    for batch in batches:
-        kind = batch.schema.field("g").type
-        keys, v, w = batch.select(["g", "s"]), batch.column("v").to_numpy(), batch.column("w").to_numpy()
-        g, s = (keys.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        starts = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])])) if len(v) else []
-        for a, b in zip(starts, [*starts[1:], len(v)]):
-            levels = {0: np.array([w[a:b].sum()])} | sketch(encode(v[a:b]), w[a:b])
-            key = (batch.column("g")[int(a)].as_py(), s[a])
-            if key == now:
-                held = {at: held[at] + c for at, c in levels.items()}
-                continue
-            if now is not None:
-                yield _sparse(now[0], kind, held)
-            now, held = key, levels
-    if now is not None:
-        yield _sparse(now[0], kind, held)
+
+    def each() -> Iterator[tuple[object, pa.DataType, np.ndarray]]:
+        now, held, kind = None, None, None
+        for batch in batches:
+            kind, v, w = batch.schema.field("g").type, batch.column("v").to_numpy(), batch.column("w").to_numpy()
+            keys = list(zip(batch.column("g").to_pylist(), batch.column("s").to_pylist()))
+            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for a, b in zip(starts, [*starts[1:], len(v)]):
+                counters = sketch(encode(v[a:b]), w[a:b])
+                if keys[a] == now:
+                    held += counters
+                    continue
+                if now is not None:
+                    yield now[0], kind, held
+                now, held = keys[a], counters
+        if now is not None:
+            yield now[0], kind, held
+
+    return _together(each())
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, pa.DataType, dict[int, np.ndarray]]]:
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, pa.DataType, np.ndarray]]:
     """The sums of the counters of each group, as its rows come one after the other."""
-    now, held, kind = None, {}, None
+    now, held, kind = None, None, None
     for batch in batches:
         kind = batch.schema.field("g").type
-        for i, (key, level) in enumerate(zip(batch.column("g").to_pylist(), batch.column("level").to_pylist())):
+        for key, packed in zip(batch.column("g").to_pylist(), batch.column("counters").to_pylist()):
             if key != now:
                 if now is not None:
                     yield now, kind, held
-                now, held = key, {}
-            if level not in held:
-                held[level] = np.zeros(_size(level), np.int64)
-            held[level][batch.column("slots")[i].values.to_numpy()] += batch.column("counts")[i].values.to_numpy()
+                now, held = key, np.zeros(COUNTERS, np.int64)
+            add_packed(packed, held)
     if now is not None:
         yield now, kind, held
 
 
-def merge(sketches: DataFrame, group: str) -> DataFrame:
-    """The sum of sketches given as one table, such as the union of those of several days: one row per group and level.
+def _by_group(sketches: DataFrame, group: str) -> tuple[DataFrame, str]:
+    slim = sketches.select(F.col(group).alias("g"), "n_values", "counters")
+    return wide(slim, "g").sortWithinPartitions("g"), sketches.schema[group].dataType.simpleString()
 
-    Each level of a group is added up by itself and streamed, so many sketches of one group fill no task's memory.
-    """
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, kind, levels in _added(batches):
-            yield _sparse(key, kind, levels)
+def merge(sketches: DataFrame, group: str) -> DataFrame:
+    """The sum of sketches given as one table, such as the union of those of several days: one row per group.
 
-    kind = sketches.schema[group].dataType.simpleString()
-    slim = sketches.select(F.col(group).alias("g"), "level", "slots", "counts")
-    out = slim.repartition("g", "level").sortWithinPartitions("g", "level").mapInArrow(add, f"g {kind}, {_COUNTERS}")
-    return out.withColumnRenamed("g", group)
+    The sketches of a group are streamed and added up, so however many there are, a task holds one.
+    """
+    rows, kind = _by_group(sketches, group)
+    return rows.mapInArrow(lambda batches: _together(_added(batches)), f"g {kind}, {_COUNTERS}").withColumnRenamed("g", group)
 
 
 def percentiles(sketches: DataFrame, group: str, shares: Sequence[float]) -> DataFrame:
-    """(group, share, n_values, value, rank_error) from a sketch table, merged or not.
+    """(group, share, n_values, value, rank_error) from sketches, merged or not.
 
     ``value`` is off by at most ``VALUE_ERROR`` of itself from a value whose rank is off by at most ``rank_error`` rows,
     but for one case in some hundreds, from the rank ceil(share * n). A group whose values were all deleted has no rows.
@@ -199,16 +248,15 @@ def percentiles(sketches: DataFrame, group: str, shares: Sequence[float]) -> Dat
     wanted = sorted(shares)
 
     def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, kind, levels in _added(batches):
-            total = int(levels.pop(0)[0])
-            if total > 0:
-                codes, error = descend(levels, total, wanted)
-                columns = [pa.array([key] * len(wanted), kind), pa.array(wanted), pa.array([total] * len(wanted)), pa.array(decode(codes)), pa.array(error)]
+        for key, kind, counters in _added(batches):
+            if counters[0] > 0:
+                codes, error = descend(counters, wanted)
+                n = len(wanted)
+                columns = [pa.array([key] * n, kind), pa.array(wanted), pa.array([int(counters[0])] * n), pa.array(decode(codes)), pa.array([error] * n)]
                 yield pa.RecordBatch.from_arrays(columns, ["g", "share", "n_values", "value", "rank_error"])
 
-    kind = sketches.schema[group].dataType.simpleString()
-    slim = sketches.select(F.col(group).alias("g"), "level", "slots", "counts")
-    out = slim.repartition("g").sortWithinPartitions("g").mapInArrow(invert, f"g {kind}, share double, n_values bigint, value double, rank_error double")
+    rows, kind = _by_group(sketches, group)
+    out = rows.mapInArrow(invert, f"g {kind}, share double, n_values bigint, value double, rank_error double")
     return out.withColumnRenamed("g", group)
 
 
