@@ -79,7 +79,7 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: float | None
     ``documents``: doc_id (unique), source, n_tokens. Documents of a null or unlisted source take no part; those
     without tokens, or with null tokens, have 0 copies. The tokens used of a source are off its rate by at most one document.
     """
-    slim = documents.select("doc_id", "source", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"))
+    slim = cut(documents.select("doc_id", "source", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens")), "sizes")
     sizes = slim.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     rates = cut(source_rates(sizes, targets, total_tokens), "rates")
     if rates.count() > MOST_SOURCES:
