@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.session import cut, scratch_path, shared_folder
+from loomwork.session import cut, scratch_path, shared_folder, wide
 
 #: Partial rows that one leaf should hold at most, hash bits by which a large partition is split, memory of a DuckDB.
 LEAF_ROWS, SPLIT_BITS, DUCK_MEMORY = 2_000_000, 4, "400MB"
@@ -103,7 +103,7 @@ def term_counts(records: DataFrame, terms: str, leaf_rows: int = LEAF_ROWS) -> D
     folder = shared_folder(spark)
     spill = folder.removeprefix("file:") if folder.startswith(("file:", "/")) else None
     spill = "/" + spill.lstrip("/") + "/duckdb" if spill else None
-    parts = every.repartition("bits", "digit").select("term", "occ", "recs")
+    parts = wide(every, "bits", "digit").select("term", "occ", "recs")
     return parts.mapInArrow(_aggregate(spill, kind), f"term {name}, occurrences bigint, records bigint")
 
 

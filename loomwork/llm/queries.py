@@ -15,7 +15,7 @@ SHARES = [0.05, 0.25, 0.5, 0.75, 0.95]
 def p1_counts(spark: SparkSession, folder: str) -> DataFrame:
     """(feat, occurrences, records, mark) of every feature."""
     t6 = read(spark, folder, "test_calculate_desc_t6")
-    sets = packed.unpack_pairs(t6, "descriptor_vector_id", "fp_feat", "fp_val")
+    sets = cut(packed.unpack_pairs(t6, "descriptor_vector_id", "fp_feat", "fp_val"), "unpacked")
     records = frequency.packed_records(sets, "descriptor_vector_id", "fp_feat", "fp_val")
     counts = frequency.term_counts(records, "fp_feat").withColumnRenamed("term", "feat")
     total = t6.select("descriptor_vector_id").filter(F.col("descriptor_vector_id").isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
@@ -80,11 +80,28 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+def _overall(spark: SparkSession, folder: str) -> DataFrame:
     sketches = quantiles.build(read(spark, folder, "t1"), "input_assay_id", "standard_value")
     return quantiles.percentiles(sketches, "input_assay_id", SHARES)
 
 
+def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """(input_assay_id, period, share, n_values, value, rank_error): for the loads of each quarter, and for ``all``.
+
+    Sketches are built once, per assay and quarter; those of an assay are added up for the whole. Loads without a time
+    are those of ``unknown``.
+    """
+    when = F.coalesce(F.concat(F.year("loaded_at"), F.lit("-Q"), F.quarter("loaded_at")), F.lit("unknown"))
+    t1 = read(spark, folder, "t1").filter(F.col("input_assay_id").isNotNull())
+    parts = t1.select(F.struct(F.col("input_assay_id").alias("assay"), when.alias("period")).alias("part"), "standard_value")
+    sketches = cut(quantiles.build(parts, "part", "standard_value"), "sketches")
+    quarterly = quantiles.percentiles(sketches, "part", SHARES)
+    whole = quantiles.percentiles(sketches.withColumn("input_assay_id", F.col("part.assay")), "input_assay_id", SHARES)
+    columns = ["share", "n_values", "value", "rank_error"]
+    each = quarterly.select(F.col("part.assay").alias("input_assay_id"), F.col("part.period").alias("period"), *columns)
+    return each.unionByName(whole.select("input_assay_id", F.lit("all").alias("period"), *columns))
+
+
 def p6_merged_years(spark: SparkSession, folder: str) -> DataFrame:
     """The same percentiles from sketches of each year's loads, added up."""
     t1 = read(spark, folder, "t1").withColumn("part", F.struct(F.year("loaded_at").alias("y"), F.col("input_assay_id").alias("a")))
@@ -96,7 +113,7 @@ def p6_merged_years(spark: SparkSession, folder: str) -> DataFrame:
 def p6_rank_check(spark: SparkSession, folder: str) -> DataFrame:
     """(input_assay_id, share, n_values, kept): whether each rank lies within twice the stated error of the exact one."""
     t1 = read(spark, folder, "t1")
-    estimates = cut(p6_percentiles(spark, folder), "estimates")
+    estimates = cut(_overall(spark, folder), "estimates")
     checked = quantiles.rank_errors(estimates, t1, "input_assay_id", "standard_value")
     return checked.select("input_assay_id", "share", "n_values", (F.col("off_by") <= 2 * F.col("rank_error") + 1).alias("kept"))
 

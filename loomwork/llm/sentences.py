@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.session import cut
+from loomwork.session import cut, wide
 
 #: Characters of a chunk, and of the text around it that is looked at to tell what a gap is.
 CHUNK_CHARS, LOOK = 50_000, 80
@@ -62,6 +62,7 @@ BREAK = regex.compile("\r\n|[\n\r ]|(?P<two> )")
 HEADING, BULLET, NUMBER = regex.compile(r"#{1,6}(?!\S)"), regex.compile(r"[-*+•‣◦](?!\S)"), regex.compile(r"[0-9]{1,3}[.)](?!\S)")
 CODE = regex.compile(r"\w*(?:_\w|\(|\.\w+\(|::|\w\.\w)")
 WORD = regex.compile(r"[^\s\"'“”„«»(\[（]*$")
+SPACED = regex.compile(r"\b(?:\w\.\s)+\w+$")
 EARLIER = regex.compile(r"([^\s]+)\s+\S*$")
 
 PLAIN, ITEM, TITLE = range(3)
@@ -123,12 +124,14 @@ def abbreviated(text: str, dot: int, after: str) -> bool:
     """Whether the single full stop at ``dot`` belongs to an abbreviation or ordinal, so that ``after`` goes on."""
     before = text[max(0, dot - LOOK) : dot]
     word = WORD.search(before)[0]
-    if word in BEFORE_MORE:
+    spaced = SPACED.search(before)
+    whole = regex.sub(r"\s", "", spaced[0]) if spaced else word
+    if word in BEFORE_MORE or whole in BEFORE_MORE:
         return True
+    if whole in MAY_END:
+        return False
     if word in BEFORE_NUMBER:
         return after[:1].isdigit()
-    if word in MAY_END:
-        return False
     if word.isdigit():
         earlier = EARLIER.search(before)
         following = regex.match(r"\w*", after)[0]
@@ -338,7 +341,7 @@ def sentence_units(documents: DataFrame, id_col: str = "doc_id", text: str = "te
     short = slim.filter(F.length("text") <= chunk_chars).mapInArrow(whole, found)
     long = slim.filter(F.length("text") > chunk_chars).withColumn("row", F.monotonically_increasing_id())
     cells = f"id {kind}, row bigint, chunk int, text string, base int, lo int, hi int"
-    chunks = cut(long.mapInArrow(cut_up, cells).repartition("row", "chunk").mapInArrow(functions, f"{cells}, function array<int>"), "chunks")
+    chunks = cut(wide(long.mapInArrow(cut_up, cells), "row", "chunk").mapInArrow(functions, f"{cells}, function array<int>"), "chunks")
     marks = chunks.drop("function").join(_states_before(chunks), ["row", "chunk"])
     marks = marks.mapInArrow(emitted, f"id {kind}, row bigint, start_pos int, before_end int, closing boolean")
     in_order = Window.partitionBy("row").orderBy("start_pos", F.col("closing").cast("int").desc())

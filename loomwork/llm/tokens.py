@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.session import wide
+
 #: Characters of a piece; texts up to that length are encoded in one go.
 PIECE_CHARS = 20_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -203,7 +205,7 @@ def encode_corpus(documents: DataFrame, id_col: str = "doc_id", text: str = "tex
     short = slim.filter(F.coalesce(~_is_long("text", piece_chars), F.lit(True))).mapInArrow(whole, schema)
     long = slim.filter(_is_long("text", piece_chars)).withColumn("row", F.monotonically_increasing_id())
     parts = long.mapInArrow(cut_up, f"id {kind}, row bigint, piece int, text string")
-    encoded = parts.repartition("id", "row", "piece").mapInArrow(pieces, f"id {kind}, row bigint, piece int, ids array<int>, counts array<int>")
-    ordered = encoded.repartition("id", "row").sortWithinPartitions("id", "row", "piece")
+    encoded = wide(parts, "id", "row", "piece").mapInArrow(pieces, f"id {kind}, row bigint, piece int, ids array<int>, counts array<int>")
+    ordered = wide(encoded, "id", "row").sortWithinPartitions("id", "row", "piece")
     long_ids = ordered.mapInArrow(joined, schema)
     return short.unionByName(long_ids).withColumnRenamed("id", id_col)
