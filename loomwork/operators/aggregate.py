@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loomwork.config import RANGED_TYPES, ROUNDED_TYPES, Config
+from loomwork.operators.ids import duplicated
 
 GROUP = ["input_assay_id", "descriptor_vector_id", "fold_id"]
 MEASUREMENT = ["input_compound_id", "input_assay_id", "standard_qualifier", "standard_value"]
@@ -126,9 +126,17 @@ class Replicates:
         self.classified = classify_measurements(join_measurements(t1, t0, t5), config)
         accepted = self.classified.filter(F.col("reject").isNull()).withColumn("qualifier", mapped_qualifier(F.col("standard_qualifier")))
         self.accepted = accepted
-        self.grouped = aggregate_groups(accepted)
-        self.valued = self.grouped.filter(F.col("standard_qualifier").isNotNull())
-        self.variance = fold_variance(self.valued, config.min_std)
+        self._set(aggregate_groups(accepted), lambda name, df: df)
+
+    def _set(self, grouped: DataFrame, keep: Callable[[str, DataFrame], DataFrame]) -> None:
+        self.grouped = grouped
+        self.valued = grouped.filter(F.col("standard_qualifier").isNotNull())
+        self.variance = keep("T0_variance", fold_variance(self.valued, self.config.min_std))
+
+    def settle(self, keep: Callable[[str, DataFrame], DataFrame]) -> Replicates:
+        """The same tables, from groups and variances that ``keep`` has written, for runs that need several of them."""
+        self._set(keep("T1_grouped", self.grouped), keep)
+        return self
 
     def rejected(self, reason: str) -> DataFrame:
         """Measurements rejected for ``range`` or ``binary``, with their own qualifiers."""
@@ -136,8 +144,7 @@ class Replicates:
 
     def duplicates(self) -> DataFrame:
         """All accepted members of groups with several replicates."""
-        several = F.count(F.lit(1)).over(Window.partitionBy(*GROUP)) > 1
-        rows = self.accepted.withColumn("several", several).filter("several")
+        rows = duplicated(self.accepted, GROUP)
         return rows.select("input_assay_id", "input_compound_id", "descriptor_vector_id", "fold_id", F.col("qualifier").alias("standard_qualifier"), "standard_value")
 
     def failed_aggregation(self) -> DataFrame:

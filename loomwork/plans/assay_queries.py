@@ -35,8 +35,8 @@ def _t1(spark: SparkSession, folder: str) -> DataFrame:
 def _catalog(t0: DataFrame) -> DataFrame:
     """A catalog: for each catalog assay with thresholds of its own, tasks at the thresholds of the first of them."""
     known = t0.filter(F.col("catalog_assay_id").isNotNull() & F.col("expert_threshold_1").isNotNull())
-    first = known.groupBy().agg(F.min(F.struct("catalog_assay_id", *EXPERTS)).alias("first")).select(*[f"first.{c}" for c in EXPERTS])
-    each = known.select("catalog_assay_id").distinct().join(F.broadcast(first))  # one row
+    first = known.groupBy().agg(F.min(F.struct("catalog_assay_id", *EXPERTS)).alias("first"))
+    each = known.select("catalog_assay_id").distinct().withColumns({c: first.select(f"first.{c}").scalar() for c in EXPERTS})
     rows = each.select("*", F.explode(F.array(*EXPERTS)).alias("threshold")).filter("threshold IS NOT NULL")
     return ids.with_dense_id(rows.withColumn("threshold_method", F.lit("expert")), ["catalog_assay_id", "threshold"], "catalog_task_id", 1)
 
@@ -50,18 +50,24 @@ class Stages:
     """The tables of a run, each written when it is first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self._kept = spark, folder, {}
+        self.spark, self.folder = spark, folder
+        self._kept: dict = {}
 
     def _keep(self, name: str, make) -> DataFrame:
         if name not in self._kept:
             self._kept[name] = cut(make(), name)
         return self._kept[name]
 
+    def _settled(self) -> aggregate.Replicates:
+        if "replicates" not in self._kept:
+            self._kept["replicates"] = _replicates(self.spark, self.folder).settle(lambda name, df: cut(df, name))
+        return self._kept["replicates"]
+
     def t0(self) -> DataFrame:
-        return self._keep("t0", lambda: _replicates(self.spark, self.folder).t0_updated())
+        return self._keep("t0", lambda: self._settled().t0_updated())
 
     def t4r(self) -> DataFrame:
-        return self._keep("t4r", lambda: _replicates(self.spark, self.folder).t4r())
+        return self._keep("t4r", lambda: self._settled().t4r())
 
     def t3c(self) -> DataFrame:
         return self._keep("t3c", lambda: threshold.tasks(self.t0(), self.t4r(), _catalog(_t0(self.spark, self.folder)), CONFIG))

@@ -60,10 +60,7 @@ class Run:
         """All tables from assays, measurements and vectors to matrices and weights."""
         self.check(checks.check_assays(t0))
         t0, t1, t5 = tables.ingest_assays(t0), tables.ingest_values(t1), tables.ingest_vectors(t5)
-        r = aggregate.Replicates(t0, t1, t5, self.config)
-        r.grouped = self.keep("T1_grouped", r.grouped)
-        r.valued = r.grouped.filter(F.col("standard_qualifier").isNotNull())
-        r.variance = self.keep("T0_variance", aggregate.fold_variance(r.valued, self.config.min_std))
+        r = aggregate.Replicates(t0, t1, t5, self.config).settle(self.keep)
         for name, df in {
             "failed_range_T1": r.rejected("range"),
             "failed_binary_T1": r.rejected("binary"),
