@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
@@ -39,7 +40,7 @@ _grouped = re.compile(r"\d+(?:,\d+)*(?:\.0*)?")
 _mask = "\x01"
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 18)
 def piece_value(piece: str) -> tuple[str, int | None]:
     """The form of an unquoted piece and its value; the form is ``x`` and the value None if it is no integer."""
     m = _plain.fullmatch(piece)
@@ -48,6 +49,7 @@ def piece_value(piece: str) -> tuple[str, int | None]:
     return ("d" if m[2] else "i") + str(min(len(m[1]), MOST_DIGITS)), int(m[1])
 
 
+@lru_cache(1 << 18)
 def quoted_value(inside: str) -> tuple[str, int | None]:
     """The same for what stands between quotes; there, commas and blanks group digits."""
     text = re.sub(r"\s+", "", inside)
@@ -74,53 +76,66 @@ def _quote_pattern(quotes: str) -> re.Pattern:
     return re.compile("|".join(f"{q}([^{q}]*){q}" for q in quotes))
 
 
-def parses(text: str) -> Iterator[tuple[float, list[tuple[str, int | None, int]]]]:
+def _pieces(parts: list[str], insides: list[str]) -> Iterator[tuple[str, int | None, int]]:
+    """(form, value, length of the text) of each part, of which masks stand for the quoted ``insides``."""
+    at = 0
+    for p in parts:
+        if _mask not in p:
+            yield (*piece_value(p), len(p))
+        elif p == _mask:
+            yield (*quoted_value(insides[at]), len(insides[at]))
+            at += 1
+        else:
+            n = p.count(_mask)
+            yield "x", None, len(p) + sum(2 + len(x) for x in insides[at : at + n])
+            at += n
+
+
+def parses(text: str) -> Iterator[tuple[float, Iterator[tuple[str, int | None, int]]]]:
     """For each dialect: the bits of its structure, and the pieces as (form, value, length of the text)."""
     body = text.strip().strip(BRACKETS).replace(_mask, "?")
     present = "".join(q for q in QUOTES if q in body)
     for quotes in dict.fromkeys((present, "")):
         insides: list[str] = []
+        masked = body
         if quotes:
 
             def keep(m: re.Match) -> str:
-                insides.append(next(g for g in m.groups() if g is not None))
+                insides.append(next(g for g in m.groups() if g is not None))  # noqa: B023
                 return _mask
 
             masked = _quote_pattern(quotes).sub(keep, body)
-        else:
-            masked = body
-        quoted = [(*quoted_value(x), len(x)) for x in insides]
         marks = "".join(c for c in DELIMITERS if c in masked) + (BLANK if re.search(r"\s", masked.strip()) else "")
         for chosen, pattern in _candidates(marks):
             parts = [p for x in (pattern.split(masked) if pattern else [masked]) if (p := x.strip())]
-            at, pieces = 0, []
-            for p in parts:
-                if p == _mask:
-                    pieces.append(quoted[at])
-                    at += 1
-                else:
-                    inside = p.count(_mask)
-                    pieces.append((*piece_value(p), len(p) + sum(2 + q[2] for q in quoted[at : at + inside])))
-                    at += inside
             used = math.log2(len(chosen)) * len(parts) if len(chosen) > 1 else 0.0
-            yield NAME_BITS * (len(chosen) + len(quotes)) + used, pieces
+            yield NAME_BITS * (len(chosen) + len(quotes)) + used, _pieces(parts, insides)
 
 
-def cheapest(text: str | None, bits: dict[str, float]) -> list[int | None]:
-    """The values of a field under its cheapest dialect; [] for a null or blank field or one of empty places only."""
+def prices(bits: dict[str, float]) -> dict[str, float]:
+    """Bits of a whole value of each form: of the form and of its digits; ``x`` has those of the form alone."""
+    unseen = max(bits.values(), default=0.0) + 1.0
+    digits = {f"{kind}{n}": bits.get(f"{kind}{n}", unseen) + DIGIT_BITS * n for kind in "idq" for n in range(MOST_DIGITS + 1)}
+    return digits | {"x": bits.get("x", unseen)}
+
+
+def cheapest(text: str | None, price: dict[str, float]) -> list[int | None]:
+    """The values of a field under its cheapest dialect, by ``prices``; [] for a null or blank field or one of empty places only."""
     if text is None:
         return []
-    unseen = max(bits.values(), default=0.0) + 1.0
     best, least = [], math.inf
     for cost, pieces in parses(text):
-        for form, _, size in pieces:
-            cost += bits.get(form, unseen) + (BAD_CHAR_BITS * size if form == "x" else DIGIT_BITS * min(size, int(form[1:])))
+        values = []
+        for form, value, size in pieces:
+            cost += price[form] + (BAD_CHAR_BITS * size if form == "x" else 0.0)
             if cost >= least:
                 break
+            values.append(value)
         else:
-            best, least = pieces, cost
+            if cost < least:
+                best, least = values, cost
     most = 2**63
-    return [v if v is not None and v < most else None for _, v, _ in best]
+    return [v if v is not None and v < most else None for v in best]
 
 
 def code_lengths(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
@@ -136,10 +151,10 @@ def code_lengths(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
                 for text in column.to_pylist():
                     if text is None:
                         continue
-                    each = list(parses(text))
-                    for _, pieces in each:
-                        for form, _, _ in pieces:
-                            seen[form] = seen.get(form, 0.0) + 1 / len(each)
+                    each = [Counter(form for form, _, _ in pieces) for _, pieces in parses(text)]
+                    for forms in each:
+                        for form, n in forms.items():
+                            seen[form] = seen.get(form, 0.0) + n / len(each)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.float64())], ["form", "n"])
 
     rows = df.select(*columns).mapInArrow(count, "form string, n double").groupBy("form").agg(F.sum("n").alias("n")).collect()
@@ -153,7 +168,7 @@ def unpack(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFr
     A null, empty or blank field is an empty array. Empty places take no position. A piece that is no non-negative
     integer keeps its position with a null value, as does one beyond bigint. No row is lost; repeated rows stay.
     """
-    bits = code_lengths(df, columns)
+    price = prices(code_lengths(df, columns))
     slim = df.select(*keep, *columns)
     names = [*keep, *columns]
 
@@ -162,7 +177,7 @@ def unpack(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFr
             arrays = [batch.column(i) for i in range(len(keep))]
             for i in range(len(keep), len(names)):
                 texts = batch.column(i).to_pylist()
-                arrays.append(pa.array([cheapest(t, bits) for t in texts], pa.list_(pa.int64())))
+                arrays.append(pa.array([cheapest(t, price) for t in texts], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name in keep] + [f"`{c}` array<bigint>" for c in columns])
@@ -170,19 +185,20 @@ def unpack(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFr
 
 
 def unpack_pairs(df: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
-    """One row (key, feats array, vals array) per record; repeated rows, also in another notation, count once.
+    """One row (key, feats array, vals array) per distinct record text; rows with a null key take no part.
 
-    Rows with a null key take no part.
+    Repeated rows are dropped before the parsing, which also spreads the texts evenly, however the files are cut. The
+    same contents in two notations are still two rows.
     """
-    rows = unpack(df.filter(F.col(key).isNotNull()), [key], [feats, vals])
-    return rows.groupBy(key, feats, vals).agg(F.lit(1).alias("__one")).drop("__one")
+    texts = df.filter(F.col(key).isNotNull()).select(key, feats, vals).distinct()
+    return unpack(cut(texts, "texts"), [key], [feats, vals])
 
 
 def value_rows(df: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
     """(key, pos, feat, val): one row per value packed in ``feats``; ``val`` is the value of ``vals`` at that place.
 
     Positions count from 0. Where ``vals`` is shorter, ``val`` is null; values beyond the end of ``feats`` are left
-    out. A key that comes with several different contents yields each distinct row once.
+    out. A key that comes with several texts yields each distinct row once, whatever the notation.
     """
     sets = cut(unpack_pairs(df, key, feats, vals), "unpacked")
     several = sets.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(key)

@@ -5,6 +5,7 @@ import pytest
 from loomwork.operators import packed
 
 BITS = {"i1": 1.6, "i2": 10.0, "i3": 6.3, "i4": 3.5, "i5": 2.2, "q1": 6.2, "q4": 7.8, "q5": 6.6, "d1": 6.8, "d5": 7.3, "x": 1.7}
+PRICES = packed.prices(BITS)
 
 CASES = {
     None: [],
@@ -35,11 +36,11 @@ CASES = {
 
 @pytest.mark.parametrize("text,want", CASES.items())
 def test_cheapest_dialect(text, want):
-    assert packed.cheapest(text, BITS) == want
+    assert packed.cheapest(text, PRICES) == want
 
 
 def test_very_long_field():
-    assert packed.cheapest("; ".join(str(i) for i in range(10000, 40000)), BITS) == list(range(10000, 40000))
+    assert packed.cheapest("; ".join(str(i) for i in range(10000, 40000)), PRICES) == list(range(10000, 40000))
 
 
 def test_value_rows(spark):
