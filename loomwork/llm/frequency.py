@@ -117,9 +117,9 @@ def marked(counts: DataFrame, n_records: Column, rare_records: int = 2, common_s
 
 
 def packed_records(sets: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
-    """Distinct contents (key, feats, vals) as arrays of terms for ``term_counts``.
+    """Unpacked records (key, feats, vals) as arrays of terms for ``term_counts``.
 
-    A key with one content is one row. Of a key with several contents each distinct (position, feature, value) counts
+    A key with one row is one record. Of a key with several rows each distinct (position, feature, value) counts
     once; it gives a row for each of its features, which together are its one record.
     """
     several = sets.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(key)
