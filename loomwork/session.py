@@ -25,42 +25,45 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
+
+    Only a local master may go without that setting; it then gets a temporary folder of its own.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Sends this package's modules to the executors, once in a session, so that they need no installation.
 
-    The archive is written where the driver runs; Spark hands it to the executors.
+    The archive is written to the shared folder. Where that is no file system of the driver, the package has to be
+    installed, or given with ``--py-files``.
     """
     sc = spark.sparkContext
-    if sc.applicationId in _shipped:
+    folder = shared_folder(spark)
+    if sc.applicationId in _shipped or not folder.startswith(("file:", "/")):
         return
     _shipped.add(sc.applicationId)
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / f"{root.name}.zip"
+    archive = Path("/" + folder.removeprefix("file:").lstrip("/")) / f"code-{uuid.uuid4().hex}" / f"{root.name}.zip"
+    archive.parent.mkdir(parents=True)
     with zipfile.ZipFile(archive, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(archive))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
-
-    Only a local master may go without that setting; it then gets a temporary folder of its own.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for a table in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
