@@ -96,18 +96,23 @@ class Run:
         return out
 
     def deliver(self, tables_: dict[str, DataFrame], folder: str | Path) -> None:
-        """The matrices and weights as the files that training reads, one folder per kind of task."""
-        n = (tables_["folds"].agg(F.max("row")).collect()[0][0] or -1) + 1
-        for kind, y in (("cls", "y_cls"), ("reg", "y_reg")):
-            at = Path(folder) / kind
-            at.mkdir(parents=True)
-            width = (tables_[f"{kind}_weights"].agg(F.max("task_id")).collect()[0][0] or 0) + 1
-            matrix.save_npz(tables_["x"], at / f"{kind}_T11_x.npz", (n, self.config.fold_size), "int8")
-            matrix.save_npz(tables_[y], at / f"{kind}_T10_y.npz", (n, width), "float32")
-            matrix.save_npy(tables_["folds"], at / f"{kind}_T11_fold_vector.npy", "fold_id")
+        """The matrices and weights as the files that training reads, one folder per kind of task.
+
+        Where one of them is too large for a single file, all matrices and vectors are folders of shards of the same
+        rows, which tasks write; ``folder`` then has to be one that all executors share.
+        """
+        x, y, folds, n = tables_["x"], {"cls": tables_["y_cls"], "reg": tables_["y_reg"]}, tables_["folds"], matrix.extent(tables_["folds"], "row")
+        bits = matrix.row_bits([x, *y.values(), tables_["censor"]], n)
+        at = {kind: Path(folder) / kind for kind in y}
+        for kind in y:
+            at[kind].mkdir(parents=True)
+            width = matrix.extent(tables_[f"{kind}_weights"], "task_id")
+            matrix.save_npz(y[kind], at[kind] / f"{kind}_T10_y.npz", (n, width), "float32", bits)
             if kind == "reg":
-                matrix.save_npz(tables_["censor"], at / "reg_T10_censor_y.npz", (n, width), "int8")
-            tables_[f"{kind}_weights"].orderBy("task_id").toPandas().to_csv(at / f"{kind}_weights.csv", index=False)
+                matrix.save_npz(tables_["censor"], at[kind] / "reg_T10_censor_y.npz", (n, width), "int8", bits)
+            matrix.save_csv(tables_[f"{kind}_weights"], at[kind] / f"{kind}_weights.csv", "task_id")
+        matrix.save_npz(x, [at[kind] / f"{kind}_T11_x.npz" for kind in y], (n, self.config.fold_size), "int8", bits)
+        matrix.save_npy(folds, [at[kind] / f"{kind}_T11_fold_vector.npy" for kind in y], "fold_id", n, bits)
 
     def finish(self, arguments: dict) -> None:
         """The arguments and the report as JSON beside the tables, where these are on this machine."""
@@ -121,9 +126,13 @@ class Run:
 def copy_delivery(source: str | Path, target: str | Path) -> None:
     """Copies each data set of a delivery; missing files and files that don't belong there are an error."""
     for kind, wanted in DELIVERY.items():
-        there = {p.name for p in (Path(source) / kind).iterdir()}
-        if there != set(wanted):
-            raise ValueError(f"{kind}: missing {sorted(set(wanted) - there)}, additional {sorted(there - set(wanted))}")
+        there = {p.name.removesuffix(matrix.SHARDED) if p.is_dir() else p.name: p for p in (Path(source) / kind).iterdir()}
+        if set(there) != set(wanted) or len(there) != len(list((Path(source) / kind).iterdir())):
+            raise ValueError(f"{kind}: missing {sorted(set(wanted) - set(there))}, additional {sorted(set(there) - set(wanted))}")
+        for folder in (p for p in there.values() if p.is_dir()):
+            files = {"manifest.json", *(s["file"] for s in json.loads((folder / "manifest.json").read_text())["shards"])}
+            if files != (found := {p.name for p in folder.iterdir()}):
+                raise ValueError(f"{folder.name}: missing {sorted(files - found)}, additional {sorted(found - files)}")
         shutil.copytree(Path(source) / kind, Path(target) / kind)
 
 
