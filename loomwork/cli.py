@@ -17,8 +17,9 @@ CATALOG = "catalog_assay_id double, catalog_task_id double, threshold double, th
 
 
 def load(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """Tables of CSV or Parquet files as one."""
-    return tables.union_tables([spark.read.parquet(p) if p.endswith(".parquet") else tables.read_input(spark, p, schema) for p in paths])
+    """Tables of CSV or Parquet files as one; of assays other columns than the schema's stay."""
+    of = lambda p: tables.with_other_columns(spark, p, schema) if schema == tables.SCHEMAS["t0"] else schema
+    return tables.union_tables([spark.read.parquet(p) if p.endswith(".parquet") else tables.read_input(spark, p, of(p)) for p in paths])
 
 
 def standardize(run: pipeline.Run, a: argparse.Namespace) -> None:

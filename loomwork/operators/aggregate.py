@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwork.config import RANGED_TYPES, ROUNDED_TYPES, Config
 from loomwork.operators.ids import duplicated
+from loomwork.sources.tables import known_columns
 
 GROUP = ["input_assay_id", "descriptor_vector_id", "fold_id"]
 MEASUREMENT = ["input_compound_id", "input_assay_id", "standard_qualifier", "standard_value"]
@@ -21,7 +22,7 @@ def lookup(values: Mapping[str, object], key: Column) -> Column:
 
 def join_measurements(t1: DataFrame, t0: DataFrame, t5: DataFrame) -> DataFrame:
     """Measurements of known assays with the assay's attributes and, where the structure succeeded, vector and fold."""
-    return t1.join(t0, "input_assay_id").join(t5, "input_compound_id", "left")
+    return t1.join(known_columns(t0), "input_assay_id").join(t5, "input_compound_id", "left")
 
 
 def out_of_range(value: Column, assay_type: Column, config: Config = Config()) -> Column:
@@ -166,7 +167,7 @@ class Replicates:
 
     def t0_updated(self) -> DataFrame:
         """T0 with ``variance_quorum_OK``; catalog assays without spread are not used in regression."""
-        flags = self.variance.filter("constant").select("input_assay_id", "catalog")
+        flags = self.variance.filter("constant").select("input_assay_id", F.col("catalog").alias("__catalog"))
         out = self.assays.join(flags, "input_assay_id", "left")
-        use = F.when(F.col("catalog"), F.lit(False)).otherwise(F.col("use_in_regression"))
-        return out.withColumn("use_in_regression", use).withColumn("variance_quorum_OK", F.coalesce(F.col("catalog"), F.lit(True))).drop("catalog")
+        use = F.when(F.col("__catalog"), F.lit(False)).otherwise(F.col("use_in_regression"))
+        return out.withColumn("use_in_regression", use).withColumn("variance_quorum_OK", F.coalesce(F.col("__catalog"), F.lit(True))).drop("__catalog")

@@ -12,6 +12,7 @@ from loomwork.config import Config
 from loomwork.operators.aggregate import lookup
 from loomwork.operators.ids import dense_ids, duplicated, first_of
 from loomwork.operators.threshold import TASK
+from loomwork.sources.tables import known_columns, with_assay_columns
 
 CONT_TASK, CONT_REGRESSION = "cont_classification_task_id", "cont_regression_task_id"
 
@@ -109,11 +110,11 @@ def regression_tasks(t0_updated: DataFrame, t4r: DataFrame, config: Config = Con
 
     Catalog assays count as non-catalog; binary ones are not used. Evaluation asks for uncensored values in every fold,
     and, but for ADME, for some spread there. Whether tasks are auxiliary is told from the first assay of the table, as
-    a table is either all screening or none. Assays without values are appended with nulls.
+    a table is either all screening or none. Assays without values are appended with nulls. Other columns of T0 go along.
     """
     first = t0_updated.agg(F.min_by("assay_type", "input_assay_id")).scalar() == "AUX_HTS"
     use = F.when(F.col("is_binary"), F.lit(False)).otherwise(F.col("use_in_regression"))
-    t3r = t0_updated.withColumn("is_auxiliary", F.coalesce(first, F.lit(False))).withColumn("use_in_regression", use)
+    t3r = known_columns(t0_updated).withColumn("is_auxiliary", F.coalesce(first, F.lit(False))).withColumn("use_in_regression", use)
     kind = F.col("assay_type")
     df = t3r.join(regression_counts(t4r), "input_assay_id").withColumn("assay_type", F.when(kind == "CATALOG-PANEL", "NON-CATALOG-PANEL").otherwise(kind))
     enough = _reached("num_uncensored_total", config.training_regression, "num_uncensored_total", kind)
@@ -134,7 +135,7 @@ def regression_tasks(t0_updated: DataFrame, t4r: DataFrame, config: Config = Con
     df = df.withColumn("aggregation_weight", (F.col("evaluation_quorum_OK") & F.col("evaluation_stdv_quorum_OK")).cast("double"))
     t8r = df.join(dense_ids(df.filter(trained), ["input_assay_id"], CONT_REGRESSION), "input_assay_id", "left")
     missing = t3r.join(df.select("input_assay_id"), "input_assay_id", "left_anti").withColumn("evaluation_stdv_quorum_OK", kind == "ADME").withColumn("aggregation_weight", F.lit(0.0))
-    return t8r.unionByName(missing, allowMissingColumns=True)
+    return with_assay_columns(t8r.unionByName(missing, allowMissingColumns=True), t0_updated)
 
 
 def regression_rows(t4r: DataFrame, t8r: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwork.config import AUXILIARY_TYPES, FIXED_TRIALS, Config
 from loomwork.operators.ids import dense_ids
-from loomwork.sources.tables import EXPERTS
+from loomwork.sources.tables import EXPERTS, known_columns
 
 TASK = "classification_task_id"
 
@@ -107,7 +107,7 @@ def tasks(t0_updated: DataFrame, t4r: DataFrame, t_cat: DataFrame, config: Confi
     Assays without spread keep a row with a null threshold and number. Catalog tasks are those whose catalog assay,
     threshold and method the catalog has.
     """
-    assays = catalog_experts(t0_updated, t_cat)
+    assays = catalog_experts(known_columns(t0_updated), t_cat)
     passed = assays.filter("variance_quorum_OK").join(assay_statistics(t4r), "input_assay_id", "left")
     each = passed.withColumn("entry", F.explode(threshold_list(config)))
     kind, method = F.col("assay_type"), F.col("entry.threshold_method")

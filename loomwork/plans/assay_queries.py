@@ -191,6 +191,7 @@ _on_stages("t4c", lambda s: s.labelled())
 _on_stages("t4c_failed", lambda s: s.t4c().filter("class_label IS NULL"))
 _on_stages("class_counts", lambda s: quorum.class_counts(s.labelled()))
 _on_stages("t8c", lambda s: s.t8c())
+_on_stages("t8c_assays", lambda s: tables.with_assay_columns(s.t8c(), _t0(s.spark, s.folder)))
 _on_stages("t10c", lambda s: s.t10c(0))
 _on_stages("t4c_filtered_out", lambda s: s.t10c(1))
 _on_stages("t4c_duplicates", lambda s: s.t10c(2))
@@ -631,6 +632,7 @@ QUALIFY count(*) OVER (PARTITION BY input_assay_id, descriptor_vector_id, fold_i
     "t4c_failed": _TASKS + "SELECT * FROM all_labels WHERE class_label IS NULL",
     "class_counts": _CLASSES + "SELECT * FROM class_counts",
     "t8c": _CLASSES + "SELECT * FROM t8c",
+    "t8c_assays": _CLASSES + "SELECT t8c.*, a.parent_assay_id FROM t8c LEFT JOIN a USING (input_assay_id)",
     "t10c": _CLASSES + "SELECT * FROM t10c",
     "t4c_filtered_out": _CLASSES + "SELECT * FROM t4c WHERE classification_task_id NOT IN (SELECT classification_task_id FROM numbered)",
     "t4c_duplicates": _CLASSES + "SELECT * FROM kept QUALIFY count(*) OVER (PARTITION BY cont_classification_task_id, descriptor_vector_id) > 1",

@@ -75,7 +75,7 @@ class Run:
         every = threshold.labels(t3c, t4r)
         self.keep("T4c_failed", every.filter("class_label IS NULL"))
         t4c = self.keep("T4c", every.filter("class_label IS NOT NULL"))
-        t8c = self.keep("T8c", quorum.classification_tasks(t3c, t4c, self.config))
+        t8c = self.keep("T8c", tables.with_assay_columns(quorum.classification_tasks(t3c, t4c, self.config), t0))
         t8r = self.keep("T8r", quorum.regression_tasks(t0u, t4r, self.config))
         out = {"T8c": t8c, "T8r": t8r}
         for kind, (rows, left, repeated) in {"c": quorum.training_rows(t4c, t8c), "r": quorum.regression_rows(t4r, t8r)}.items():

@@ -19,6 +19,7 @@ SCHEMAS = {
     "t6": "descriptor_vector_id bigint, fp_feat string, fp_val string, fold_id int",
 }
 EXPERTS = [f"expert_threshold_{i}" for i in range(1, 6)]
+ASSAY = [c.split()[0] for c in SCHEMAS["t0"].split(",")]
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, delimiter: str = ",", rows: int | None = None) -> DataFrame:
@@ -36,6 +37,13 @@ def read_input(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return df
 
 
+def with_other_columns(spark: SparkSession, path: str, schema: str, delimiter: str = ",") -> str:
+    """The schema of a CSV file in the order of its header; columns that ``schema`` lacks are strings."""
+    known = {c.split()[0]: c.split()[1] for c in schema.split(",")}
+    names = spark.read.options(header=True, sep=delimiter).csv(path).columns
+    return ", ".join(f"`{n}` {known.get(n, 'string')}" for n in [*names, *(k for k in known if k not in names)])
+
+
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
     """All rows of all tables; columns that some lack are null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
@@ -53,7 +61,10 @@ def number_or_null(c: Column) -> Column:
 
 
 def ingest_assays(t0: DataFrame) -> DataFrame:
-    """T0 in its types, one row per assay: NaN is null, directions in lower case; the first of repeated rows by all columns."""
+    """T0 in its types, one row per assay: NaN is null, directions in lower case; the first of repeated rows by all columns.
+
+    Columns that are not the schema's, such as ``META*``, stay as they are, after the others.
+    """
     doubles = [*EXPERTS, "catalog_assay_id", "parent_assay_id"]
     rows = t0.select(
         F.col("input_assay_id").cast("bigint").alias("input_assay_id"),
@@ -62,11 +73,27 @@ def ingest_assays(t0: DataFrame) -> DataFrame:
         "is_binary",
         *[number_or_null(F.col(c).cast("double")).alias(c) for c in doubles],
         F.lower(F.trim("direction")).alias("direction"),
+        *[quoted(c) for c in t0.columns if c not in ASSAY],
     )
-    first = F.min(F.struct(*[c for c in rows.columns if c != "input_assay_id"])).alias("r")
+    first = F.min(F.struct(*[quoted(c) for c in rows.columns if c != "input_assay_id"])).alias("r")
     return rows.filter(F.col("input_assay_id").isNotNull()).groupBy("input_assay_id").agg(first).select("input_assay_id", "r.*")
 
 
+def quoted(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def known_columns(t0: DataFrame) -> DataFrame:
+    """T0, also the updated one, without the columns that only go along."""
+    return t0.select(*[c for c in t0.columns if c in ASSAY or c == "variance_quorum_OK"])
+
+
+def with_assay_columns(df: DataFrame, t0: DataFrame) -> DataFrame:
+    """``df`` left joined on input_assay_id with the columns of T0 that it lacks, but for expert thresholds."""
+    more = [c for c in t0.columns if c not in df.columns and not c.startswith("expert_threshold")]
+    return df.join(t0.select("input_assay_id", *[quoted(c) for c in more]), "input_assay_id", "left") if more else df
+
+
 def ingest_values(t1: DataFrame) -> DataFrame:
     """T1 in its types: NaN is null, qualifiers without white space, blank and ``n/a`` as null.
 
