@@ -29,7 +29,7 @@ def standardize(run: pipeline.Run, a: argparse.Namespace) -> None:
 
 
 def structures(run: pipeline.Run, a: argparse.Namespace) -> None:
-    run.structures(load(run.spark, a.structures, tables.SCHEMAS["t2"]))
+    run.structures(load(run.spark, a.structures, tables.SCHEMAS["t2"]), a.folding or "scaffold")
 
 
 def aggregation(run: pipeline.Run, a: argparse.Namespace) -> None:
@@ -80,6 +80,7 @@ def parser() -> argparse.ArgumentParser:
         c = commands.add_parser(name)
         for n in ("structures", "assays", "values", "vectors", "features", "catalog"):
             c.add_argument(f"--{n}", nargs="+", required=False, help="needed" if n in needed else None)
+        c.add_argument("--folding", choices=pipeline.FOLDINGS)
         for n in ("output", "name", "parameters", "key", "delivery", "run_parameters"):
             c.add_argument(f"--{n}")
     copy = commands.add_parser("make_delivery")

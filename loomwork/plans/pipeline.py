@@ -24,6 +24,10 @@ DELIVERY = {
 }
 
 
+# The column that each way of folding draws from.
+FOLDINGS = {"scaffold": "murcko_smiles", "lsh": "lsh"}
+
+
 class Run:
     """A run writes its tables below ``output/name``; a folder of that name that exists is an error."""
 
@@ -45,12 +49,16 @@ class Run:
         if failed:
             raise ValueError("; ".join(f"{r.check}: {r.n}" for r in failed))
 
-    def structures(self, t2: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """T5 and T6 from structures; needs the chemistry plug-in."""
+    def structures(self, t2: DataFrame, folding: str = "scaffold") -> tuple[DataFrame, DataFrame]:
+        """T5 and T6 from structures, with folds by scaffold or ``lsh``; needs the chemistry plug-in."""
+        if folding not in FOLDINGS:
+            raise ValueError(f"folding must be one of {', '.join(FOLDINGS)}, not {folding}")
         done, failed = calculators.structures(t2, self.config)
         self.keep("T2_failed", failed)
+        # The bits are those of the features before these are scrambled.
+        done = done.withColumn("lsh", keyed.bit_string(F.col("fp_feat").cast("array<bigint>"), self.config.lsh_bits))
         scrambled = keyed.scramble(done, "fp_feat", self.config.key, self.config.fold_size)
-        folds = keyed.keyed_folds(scrambled, "murcko_smiles", self.config.key, self.config.nfolds)
+        folds = keyed.keyed_folds(scrambled, FOLDINGS[folding], self.config.key, self.config.nfolds).drop("lsh")
         texts = folds.withColumns({c: features.to_json_list(F.col(c)) for c in ("fp_feat", "fp_val")})
         t5, t6, duplicates = ids.descriptor_ids(self.keep("T2_folds", texts))
         self.keep("T2_duplicates", duplicates)
