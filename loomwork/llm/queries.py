@@ -111,11 +111,11 @@ def p6_merged_years(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_rank_check(spark: SparkSession, folder: str) -> DataFrame:
-    """(input_assay_id, share, n_values, kept): whether each rank lies within twice the stated error of the exact one."""
+    """(input_assay_id, share, n_values, kept): whether each rank lies within the stated error of the exact one."""
     t1 = read(spark, folder, "t1")
     estimates = cut(_overall(spark, folder), "estimates")
     checked = quantiles.rank_errors(estimates, t1, "input_assay_id", "standard_value")
-    return checked.select("input_assay_id", "share", "n_values", (F.col("off_by") <= 2 * F.col("rank_error") + 1).alias("kept"))
+    return checked.select("input_assay_id", "share", "n_values", (F.col("off_by") <= F.col("rank_error")).alias("kept"))
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
