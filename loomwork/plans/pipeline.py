@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork import __version__
-from loomwork.config import Config
+from loomwork.config import AUXILIARY_TYPES, Config
 from loomwork.functions import calculators, keyed
 from loomwork.operators import aggregate, checks, features, ids, matrix, packed, quorum, threshold
 from loomwork.sources import tables
@@ -49,10 +49,24 @@ class Run:
         if failed:
             raise ValueError("; ".join(f"{r.check}: {r.n}" for r in failed))
 
+    def check_inputs(self, t0: DataFrame, t1: DataFrame) -> None:
+        """Ends the run at wrong rows of T0 or T1, or when more assays are measured than T0 has; reports types and numbers.
+
+        Whether auxiliary data is expected is told from whether there is any.
+        """
+        self.check(checks.check_assays(t0).unionByName(checks.check_values(t1)))
+        auxiliary = not t0.filter(F.trim("assay_type").isin(*AUXILIARY_TYPES)).isEmpty()
+        types = checks.check_types(t0.withColumn("assay_type", F.trim("assay_type")), auxiliary).filter("level = 'WARNING'").collect()
+        sizes = checks.check_sizes(t0, t1, "input_assay_id").collect()[0]
+        self.report["checks"] = [f"assay_type {r.assay_type}: {r.n}" for r in types] + [f"input_assay_id: {sizes.n_left} in T0, {sizes.n_right} in T1, {sizes.level}"]
+        if sizes.level == "ERROR":
+            raise ValueError(f"input_assay_id: {sizes.n_left} in T0, {sizes.n_right} in T1")
+
     def structures(self, t2: DataFrame, folding: str = "scaffold") -> tuple[DataFrame, DataFrame]:
         """T5 and T6 from structures, with folds by scaffold or ``lsh``; needs the chemistry plug-in."""
         if folding not in FOLDINGS:
             raise ValueError(f"folding must be one of {', '.join(FOLDINGS)}, not {folding}")
+        self.check(checks.check_structures(t2))
         done, failed = calculators.structures(t2, self.config)
         self.keep("T2_failed", failed)
         # The bits are those of the features before these are scrambled.
@@ -66,7 +80,7 @@ class Run:
 
     def activity(self, t0: DataFrame, t1: DataFrame, t5: DataFrame, t6: DataFrame, t_cat: DataFrame) -> dict[str, DataFrame]:
         """All tables from assays, measurements and vectors to matrices and weights."""
-        self.check(checks.check_assays(t0))
+        self.check_inputs(t0, t1)
         t0, t1, t5 = tables.ingest_assays(t0), tables.ingest_values(t1), tables.ingest_vectors(t5)
         r = aggregate.Replicates(t0, t1, t5, self.config).settle(self.keep)
         for name, df in {
@@ -90,7 +104,10 @@ class Run:
             out[f"T10{kind}"] = self.keep(f"T10{kind}", rows)
             self.keep(f"filtered_out_T4{kind}", left)
             self.keep(f"duplicates_T4{kind}", repeated)
-        arrays = packed.unpack(t6.dropDuplicates(["descriptor_vector_id"]), ["descriptor_vector_id", "fold_id"], ["fp_feat", "fp_val"])
+        # Of a vector with several texts the first by fold and texts stays.
+        texts = ["descriptor_vector_id", "fold_id", "fp_feat", "fp_val"]
+        first = ids.first_of(t6.select(*texts).filter("descriptor_vector_id IS NOT NULL"), texts[:1], texts[1:])
+        arrays = packed.unpack(first, ["descriptor_vector_id", "fold_id"], ["fp_feat", "fp_val"])
         t6c, t10c, t10r = (self.keep(n, d) for n, d in zip(("T6_cont", "T10c_cont", "T10r_cont"), matrix.continuous(arrays, out["T10c"], out["T10r"])))
         out |= {
             "x": self.keep("X", matrix.feature_matrix(t6c)),

@@ -13,7 +13,7 @@ def test_structures_fold_by_lsh_of_unscrambled_features(spark, tmp_path, monkeyp
     done = found.withColumns({"murcko_smiles": F.lit("one"), "fp_val": F.transform("fp_feat", lambda _: F.lit(1)), "smiles": F.col("canonical_smiles")})
     failed = done.filter("false").select("input_compound_id", "smiles", F.lit("x").alias("error_message"))
     monkeypatch.setattr(calculators, "structures", lambda t2, config: (done, failed))
-    t5, _ = pipeline.Run(spark, str(tmp_path), "lsh", config).structures(found, "lsh")
+    t5, _ = pipeline.Run(spark, str(tmp_path), "lsh", config).structures(done, "lsh")
     want = {i: keyed.fold_of("".join("1" if b in f else "0" for b in config.lsh_bits), config.key, 5) for i, _, f in rows}
     assert {r.input_compound_id: r.fold_id for r in t5.collect()} == want and len(set(want.values())) > 1
     with pytest.raises(ValueError, match="scaffold, lsh"):
