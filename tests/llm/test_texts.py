@@ -56,6 +56,7 @@ def cut(text):
         ['"없습니다!"라고 기록되었습니다.', "약 3.5초입니다.", "왜 기다립니까?"],
         ['"कहाँ है?" उसने पूछा।', "डॉ. Lee ने पाया।", "क्या धीमा है?"],
         ["كتب: «أين؟» ثم أغلق النافذة.", "قاس د. Lee ذلك.", "لماذا؟"],
+        ["Done now.", "-- a comment, class A is here.", "'Am 5. Lauf war es so!'"],
         ["รุ่น 5.8 ไม่ใช้แฟ้ม", "ถ้าไม่มีให้เริ่มใหม่", "ใช้เวลา 3 วินาที"],
     ],
 )
@@ -86,26 +87,29 @@ def test_chunks_give_the_same_units(marks, size):
     spans = [text[a:b] for a, b in whole]
     assert all(s and s == s.strip() for s in spans)
     assert "".join(spans) .replace(" ", "").replace("\n", "") == text.replace(" ", "").replace("\n", "")
-    start = whole[0][0]
-    edges = [start, *(c for c in sentences.safe_cuts(text, size) if c > start), len(text)]
-    state, begins = sentences.first_state(text, start), [start]
-    for lo, hi in zip(edges, edges[1:]):
-        base = max(0, lo - sentences.LOOK)
-        part = text[base : hi + sentences.LOOK]
-        after = sentences.run_all(part, lo - base, hi - base)
-        now, found = sentences.run(part, lo - base, hi - base, state)
-        assert after[state] == now
-        state = now
-        begins += [b + base for b in found]
+    edges = sentences.chunk_edges(text, size)
+    state, begins = 0, []
+    for at, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        base = max(0, lo - 1)
+        exits, lasts, found = sentences.transduce(text[base : hi + 1], lo - base, hi - base, at == 0)
+        kept = [b + base for b, entries in found if entries >> state & 1]
+        assert lasts[state] == (kept[-1] - base if kept else -1)
+        begins += kept
+        state = exits[state]
     assert begins == [a for a, _ in whole]
 
 
+def test_rules_are_one_small_table():
+    machine = sentences.machine()
+    assert len(machine.kinds) <= 256 and len(machine.next) == len(sentences.classes())
+
+
 def test_distributed_chunks(spark):
     rng = random.Random(6)
-    texts = [None, "", "  ", "One. Two."] + ["".join(rng.choice(MARKS) for _ in range(400)) for _ in range(12)] + ["A long one goes on. " * 2000]
+    texts = [None, "", "  ", "One. Two."] + ["".join(rng.choice(MARKS) for _ in range(400)) for _ in range(12)] + ["A long one goes on. " * 2000, "x" * 9000 + " end. New one", "漢字。" * 3000]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, row string")
     want = sorted((i, a, b) for i, t in enumerate(texts) for a, b in sentences.units(t))
-    for size in (60, 50_000):
+    for size in (60, 1_000, 50_000):
         assert sorted(map(tuple, sentences.sentence_units(df, chunk_chars=size).collect())) == want
     assert sentences.sentence_units(df.filter("false")).count() == 0
 
