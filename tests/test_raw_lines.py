@@ -44,7 +44,19 @@ CASES = [
     (B, "1,CMP1,CCO,,False,", "value"),
     (B, '1,CMP1,CCO,,False,"a, b"', None),
     (B, "1,CMP1,CCO,,False,a, b", "columns"),
+    (B, "-1,CMP1,CCO,CCO,True,", "value"),
+    (B, "+1,CMP1,CCO,CCO,True,", "value"),
+    (B, "١٢,CMP1,CCO,CCO,True,", "value"),
+    (B, "\u00a012 ,CMP1,CCO,CCO,True,", None),
+    (B, "99999999999999999999,CMP1,CCO,CCO,True,", None),
+    (B, "1,CMP1,CCO,CCO,yes,", "value"),
+    (B, '1,CMP1,CCO,CCO," true ",', None),
+    (B, "1,CMP1,CCO,CCO,True,\nx", "value"),
+    (A, "CMP1,CCO\nCMP2,CCO", "columns"),
+    (A, '"', "quoting"),
     ("other", "1,2", "columns"),
+    ("other", '1,"2', "columns"),
+    (None, "1,2", "columns"),
 ]
 
 
