@@ -4,6 +4,13 @@ A dialect is a set of delimiters and a set of quotes. What a field costs under a
 describe the dialect, the delimiters used, and each value: the code length of the value's form, learned from the whole
 table, and the bits of its digits. Text that is no value costs a byte's bits for each character, so a dialect that
 cuts a number in two, or leaves two in one piece, loses.
+
+Code lengths come in two rounds, as the dialects depend on them: all fields are parsed by their cheapest dialect under
+prior lengths, the forms of their values are counted over the whole table, and all fields are parsed again.
+
+Not every set of delimiters has to be tried. Let the full set be the least that parts the field at each of its separators and leaves
+none of its marks in a piece. A set that does so too has the same pieces and is longer. Of all others a bound is known: each
+value costs its price or that of its characters at least, and so does what is left of separators. Only sets below it are parsed.
 """
 
 from __future__ import annotations
@@ -13,8 +20,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,54 +38,71 @@ BRACKETS = "[](){}<>"
 #: Bits for naming one delimiter or quote of a dialect, and for one character of a piece that is no value.
 NAME_BITS, BAD_CHAR_BITS = 4.0, 8.0
 DIGIT_BITS = math.log2(10)
-#: Forms are told apart up to this many digits, which bounds the table of code lengths.
+#: Forms are told apart up to this many digits, more than any bigint has; their table is thus bounded. Each digit has its price.
 MOST_DIGITS = 20
-#: Beyond this many delimiters in one field only single ones and all together are tried, not every set of them.
-MOST_SETS = 5
+#: Bits of a piece that is no value, in the first round.
+PRIOR_BAD_BITS = 16.0
+KINDS = "idq"
 
 _plain = re.compile(r"(\d+)(\.0*)?")
 _grouped = re.compile(r"\d+(?:,\d+)*(?:\.0*)?")
+_separator = re.compile(rf"([{DELIMITERS}\s]+)")
+_between = re.compile(rf"\d+([{DELIMITERS}\s]+)\d")
 _mask = "\x01"
 
 
 @lru_cache(1 << 18)
-def piece_value(piece: str) -> tuple[str, int | None]:
-    """The form of an unquoted piece and its value; the form is ``x`` and the value None if it is no integer."""
+def piece_value(piece: str) -> tuple[str, int | None, int]:
+    """The form of an unquoted piece, its value, and its digits; the form is ``x`` and the value None if it is no integer."""
     m = _plain.fullmatch(piece)
     if m is None:
-        return "x", None
-    return ("d" if m[2] else "i") + str(min(len(m[1]), MOST_DIGITS)), int(m[1])
+        return "x", None, 0
+    return ("d" if m[2] else "i") + str(min(len(m[1]), MOST_DIGITS)), int(m[1]), len(m[1])
 
 
 @lru_cache(1 << 18)
-def quoted_value(inside: str) -> tuple[str, int | None]:
+def quoted_value(inside: str) -> tuple[str, int | None, int]:
     """The same for what stands between quotes; there, commas and blanks group digits."""
     text = re.sub(r"\s+", "", inside)
     if _grouped.fullmatch(text) is None:
-        return "x", None
+        return "x", None, 0
     digits = text.split(".")[0].replace(",", "")
-    return "q" + str(min(len(digits), MOST_DIGITS)), int(digits)
+    return "q" + str(min(len(digits), MOST_DIGITS)), int(digits), len(digits)
+
+
+class Prices:
+    """Bits of the form of a value, besides its digits, and which integers can't be cheaper as anything else."""
+
+    def __init__(self, bits: dict[str, float] | None = None):
+        forms = [f"{kind}{n}" for kind in KINDS for n in range(MOST_DIGITS + 1)]
+        if bits is None:
+            self.of = dict.fromkeys(forms, math.log2(len(forms))) | {"x": PRIOR_BAD_BITS}
+        else:
+            unseen = max(bits.values(), default=0.0) + 1.0
+            self.of = {form: bits.get(form, unseen) for form in (*forms, "x")}
+        # Where all values of a field are integers between equal separators, other dialects have pieces that are no values.
+        # None of them is cheaper if each value has fewer bits than its characters and one separator, and a piece 8 bits of its own.
+        fits = lambda n: self.of[f"i{n}"] + DIGIT_BITS * n <= BAD_CHAR_BITS * (n + 1)
+        self.plain = frozenset(n for n in range(1, MOST_DIGITS) if fits(n)) if self.of["x"] >= BAD_CHAR_BITS else frozenset()
+
+
+@lru_cache(4096)
+def _pattern(chosen: str) -> re.Pattern:
+    return re.compile("[" + "".join(re.escape(c) for c in chosen if c != BLANK) + (r"\s" if BLANK in chosen else "") + "]")
 
 
 @lru_cache(4096)
-def _candidates(marks: str) -> tuple[tuple[str, re.Pattern | None], ...]:
-    """Sets of the delimiters present, each with the pattern that splits by it; smaller sets come first."""
-    sizes = range(1, len(marks) + 1) if len(marks) <= MOST_SETS else (1, len(marks))
-    out: list[tuple[str, re.Pattern | None]] = [("", None)]
-    for n in sizes:
-        for chosen in combinations(marks, n):
-            each = "".join(re.escape(c) for c in chosen if c != BLANK) + (r"\s" if BLANK in chosen else "")
-            out.append(("".join(chosen), re.compile(f"[{each}]")))
-    return tuple(out)
+def _subsets(marks: str) -> tuple[str, ...]:
+    return tuple("".join(c) for n in range(len(marks) + 1) for c in combinations(marks, n))
 
 
 @lru_cache(16)
-def _quote_pattern(quotes: str) -> re.Pattern:
+def _quoted(quotes: str) -> re.Pattern:
     return re.compile("|".join(f"{q}([^{q}]*){q}" for q in quotes))
 
 
-def _pieces(parts: list[str], insides: list[str]) -> Iterator[tuple[str, int | None, int]]:
-    """(form, value, length of the text) of each part, of which masks stand for the quoted ``insides``."""
+def _pieces(parts: list[str], insides: list[str]) -> Iterator[tuple[str, int | None, int, int]]:
+    """(form, value, digits, length of the text) of each part, of which masks stand for the quoted ``insides``."""
     at = 0
     for p in parts:
         if _mask not in p:
@@ -87,88 +112,126 @@ def _pieces(parts: list[str], insides: list[str]) -> Iterator[tuple[str, int | N
             at += 1
         else:
             n = p.count(_mask)
-            yield "x", None, len(p) + sum(2 + len(x) for x in insides[at : at + n])
+            yield "x", None, 0, len(p) + sum(2 + len(x) for x in insides[at : at + n])
             at += n
 
 
-def parses(text: str) -> Iterator[tuple[float, Iterator[tuple[str, int | None, int]]]]:
-    """For each dialect: the bits of its structure, and the pieces as (form, value, length of the text)."""
-    body = text.strip().strip(BRACKETS).replace(_mask, "?")
-    present = "".join(q for q in QUOTES if q in body)
-    for quotes in dict.fromkeys((present, "")):
-        insides: list[str] = []
-        masked = body
-        if quotes:
+def _integers(body: str) -> list[str] | None:
+    """The values of a field of integers between equal separators with one kind of mark; None if it is none."""
+    m = _between.match(body)
+    if m is None:
+        return None
+    separator = m[1]
+    if len(set("".join(separator.split()))) > 1:
+        return None
+    parts = body.split(separator)
+    return parts if "".join(parts).isdecimal() and "" not in parts else None
 
-            def keep(m: re.Match) -> str:
-                insides.append(next(g for g in m.groups() if g is not None))  # noqa: B023
-                return _mask
 
-            masked = _quote_pattern(quotes).sub(keep, body)
-        marks = "".join(c for c in DELIMITERS if c in masked) + (BLANK if re.search(r"\s", masked.strip()) else "")
-        for chosen, pattern in _candidates(marks):
-            parts = [p for x in (pattern.split(masked) if pattern else [masked]) if (p := x.strip())]
-            used = math.log2(len(chosen)) * len(parts) if len(chosen) > 1 else 0.0
-            yield NAME_BITS * (len(chosen) + len(quotes)) + used, _pieces(parts, insides)
+def _structure(chosen: str, quotes: str, parts: int) -> float:
+    return NAME_BITS * (len(chosen) + len(quotes)) + (math.log2(len(chosen)) * parts if len(chosen) > 1 else 0.0)
 
 
-def prices(bits: dict[str, float]) -> dict[str, float]:
-    """Bits of a whole value of each form: of the form and of its digits; ``x`` has those of the form alone."""
-    unseen = max(bits.values(), default=0.0) + 1.0
-    digits = {f"{kind}{n}": bits.get(f"{kind}{n}", unseen) + DIGIT_BITS * n for kind in "idq" for n in range(MOST_DIGITS + 1)}
-    return digits | {"x": bits.get("x", unseen)}
+def parsed(body: str, prices: Prices) -> list[tuple[str, int | None, int, int]]:
+    """The pieces of a field, without its brackets, under its cheapest dialect; of equal ones the first tried."""
+    best: list = []
+    least = math.inf
+    present = "".join(q for q in QUOTES if q in body)
 
+    def attempt(chosen: str, quotes: str, masked: str, insides: list[str]) -> None:
+        nonlocal best, least
+        parts = [p for x in (_pattern(chosen).split(masked) if chosen else [masked]) if (p := x.strip())]
+        cost, found = _structure(chosen, quotes, len(parts)), []
+        for piece in _pieces(parts, insides):
+            form, _, digits, size = piece
+            cost += prices.of[form] + (BAD_CHAR_BITS * size if form == "x" else DIGIT_BITS * digits)
+            if cost >= least:
+                return
+            found.append(piece)
+        best, least = found, cost
 
-def cheapest(text: str | None, price: dict[str, float]) -> list[int | None]:
-    """The values of a field under its cheapest dialect, by ``prices``; [] for a null or blank field or one of empty places only."""
+    for quotes in dict.fromkeys((present, "")):
+        insides = ["".join(m) if isinstance(m, tuple) else m for m in _quoted(quotes).findall(body)] if quotes else []
+        masked = (_quoted(quotes).sub(_mask, body) if quotes else body).strip()
+        split = _separator.split(masked)
+        separators = Counter(split[1::2])
+        marks = {c for s in separators for c in s if c in DELIMITERS}
+        blank = any(s.isspace() for s in separators)
+        full = "".join(c for c in DELIMITERS if c in marks) + BLANK * blank
+        attempt(full, quotes, masked, insides)
+        every = full if blank or not any(c.isspace() for s in separators for c in s) else full + BLANK
+        atoms = [a for a in split[::2] if a]
+        bound = sum(min(prices.of[form] + DIGIT_BITS * digits if form != "x" else math.inf, BAD_CHAR_BITS * size) for form, _, digits, size in _pieces(atoms, insides))
+        for chosen in _subsets(every):
+            left = sum(n * (sum(c in DELIMITERS and c not in chosen for c in s) or (s.isspace() and BLANK not in chosen)) for s, n in separators.items())
+            if left and _structure(chosen, quotes, 0) + bound + BAD_CHAR_BITS * left + prices.of["x"] < least:
+                attempt(chosen, quotes, masked, insides)
+    return best
+
+
+def _body(text: str) -> str:
+    return text.strip().strip(BRACKETS).replace(_mask, "?")
+
+
+def cheapest(text: str | None, prices: Prices) -> list[int | None]:
+    """The values of a field under its cheapest dialect; [] for a null or blank field or one of empty places only."""
     if text is None:
         return []
-    best, least = [], math.inf
-    for cost, pieces in parses(text):
-        values = []
-        for form, value, size in pieces:
-            cost += price[form] + (BAD_CHAR_BITS * size if form == "x" else 0.0)
-            if cost >= least:
-                break
-            values.append(value)
-        else:
-            if cost < least:
-                best, least = values, cost
+    body = _body(text)
+    plain = _integers(body)
+    if plain is not None and prices.plain.issuperset(map(len, plain)):
+        values = list(map(int, plain))
+    else:
+        values = [value for _, value, _, _ in parsed(body, prices)]
     most = 2**63
-    return [v if v is not None and v < most else None for v in best]
+    return values if all(v is not None and v < most for v in values) else [v if v is not None and v < most else None for v in values]
+
+
+def count_forms(text: str, prices: Prices, seen: Counter) -> None:
+    """Adds the forms of the values of a field, under its cheapest dialect."""
+    body = _body(text)
+    plain = _integers(body)
+    if plain is not None and prices.plain.issuperset(lengths := list(map(len, plain))):
+        for n, times in Counter(lengths).items():
+            seen[f"i{n}"] += times
+    else:
+        seen.update(form for form, _, _, _ in parsed(body, prices))
 
 
 def code_lengths(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Bits for each form of value, from its frequency over all fields; each dialect of a field has an equal say.
+    """Bits for each form of value, from its frequency over all fields, each parsed by its cheapest dialect under prior lengths.
 
-    The result has at most 3 * MOST_DIGITS + 1 entries, whatever the data; the counting is Spark's.
+    The result has at most 3 * (MOST_DIGITS + 1) + 1 entries, whatever the data; the counting is Spark's.
     """
+    prior = Prices()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, float] = {}
+        seen: Counter = Counter()
         for batch in batches:
             for column in batch.columns:
                 for text in column.to_pylist():
-                    if text is None:
-                        continue
-                    each = [Counter(form for form, _, _ in pieces) for _, pieces in parses(text)]
-                    for forms in each:
-                        for form, n in forms.items():
-                            seen[form] = seen.get(form, 0.0) + n / len(each)
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.float64())], ["form", "n"])
-
-    rows = df.select(*columns).mapInArrow(count, "form string, n double").groupBy("form").agg(F.sum("n").alias("n")).collect()
+                    if text is not None:
+                        count_forms(text, prior, seen)
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["form", "n"])
+
+    rows = df.select(*columns).mapInArrow(count, "form string, n bigint").groupBy("form").agg(F.sum("n").alias("n")).collect()
     total = sum(r.n for r in rows)
     return {r.form: -math.log2(r.n / total) for r in rows}
 
 
+def _lists(values: list[list[int | None]]) -> pa.ListArray:
+    offsets = np.zeros(len(values) + 1, np.int32)
+    np.cumsum([len(v) for v in values], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(chain.from_iterable(values), pa.int64(), size=int(offsets[-1])))
+
+
 def unpack(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``df`` with each of the packed ``columns`` as an array of bigint; of the others only ``keep`` remain.
 
     A null, empty or blank field is an empty array. Empty places take no position. A piece that is no non-negative
     integer keeps its position with a null value, as does one beyond bigint. No row is lost; repeated rows stay.
     """
-    price = prices(code_lengths(df, columns))
+    prices = Prices(code_lengths(df, columns))
     slim = df.select(*keep, *columns)
     names = [*keep, *columns]
 
@@ -177,21 +240,31 @@ def unpack(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFr
             arrays = [batch.column(i) for i in range(len(keep))]
             for i in range(len(keep), len(names)):
                 texts = batch.column(i).to_pylist()
-                arrays.append(pa.array([cheapest(t, price) for t in texts], pa.list_(pa.int64())))
+                arrays.append(_lists([cheapest(t, prices) for t in texts]))
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name in keep] + [f"`{c}` array<bigint>" for c in columns])
     return slim.mapInArrow(parse, schema)
 
 
-def unpack_pairs(df: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
-    """One row (key, feats array, vals array) per distinct record text; rows with a null key take no part.
+def value_sets(df: DataFrame, key: str, feats: str, vals: str) -> tuple[DataFrame, DataFrame]:
+    """(once, several): rows (key, feats array, vals array) of keys with one row, and of keys with more; null keys take no part.
 
-    Repeated rows are dropped before the parsing, which also spreads the texts evenly, however the files are cut. The
-    same contents in two notations are still two rows.
+    All rows are parsed where they are read. Only keys are shuffled to be counted. The keys with several rows are written, so
+    that the joins that part the rows broadcast them only while their size is known to allow it.
     """
-    texts = df.filter(F.col(key).isNotNull()).select(key, feats, vals).distinct()
-    return unpack(cut(texts, "texts"), [key], [feats, vals])
+    sets = cut(unpack(df.filter(F.col(key).isNotNull()), [key], [feats, vals]), "unpacked")
+    several = cut(sets.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(key), "several")
+    return sets.join(several, key, "left_anti"), sets.join(several, key, "left_semi")
+
+
+def _exploded(sets: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
+    return sets.select(key, vals, F.posexplode(feats).alias("pos", "feat")).select(key, "pos", "feat", F.get(vals, F.col("pos")).alias("val"))
+
+
+def distinct_values(several: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
+    """(key, pos, feat, val) of keys with several rows, each once, whatever the notation."""
+    return _exploded(several, key, feats, vals).distinct()
 
 
 def value_rows(df: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
@@ -200,11 +273,5 @@ def value_rows(df: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
     Positions count from 0. Where ``vals`` is shorter, ``val`` is null; values beyond the end of ``feats`` are left
     out. A key that comes with several texts yields each distinct row once, whatever the notation.
     """
-    sets = cut(unpack_pairs(df, key, feats, vals), "unpacked")
-    several = sets.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(key)
-
-    def rows(d: DataFrame) -> DataFrame:
-        return d.select(key, vals, F.posexplode(feats).alias("pos", "feat")).select(key, "pos", "feat", F.get(vals, F.col("pos")).alias("val"))
-
-    once = rows(sets.join(several, key, "left_anti"))
-    return once.unionByName(rows(sets.join(several, key, "left_semi")).distinct())
+    once, several = value_sets(df, key, feats, vals)
+    return _exploded(once, key, feats, vals).unionByName(distinct_values(several, key, feats, vals))

@@ -1,11 +1,13 @@
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from loomwork.operators import packed
 
-BITS = {"i1": 1.6, "i2": 10.0, "i3": 6.3, "i4": 3.5, "i5": 2.2, "q1": 6.2, "q4": 7.8, "q5": 6.6, "d1": 6.8, "d5": 7.3, "x": 1.7}
-PRICES = packed.prices(BITS)
+BITS = {"i1": 1.6, "i2": 10.0, "i3": 6.3, "i4": 3.5, "i5": 2.2, "q1": 6.2, "q4": 7.8, "q5": 6.6, "d1": 6.8, "d5": 7.3, "x": 18.0}
+PRICES = packed.Prices(BITS)
 
 CASES = {
     None: [],
@@ -31,6 +33,11 @@ CASES = {
     "7，8、9；10 • 11": [7, 8, 9, 10, 11],
     "12345, x, 12346": [12345, None, 12346],
     "9" * 30: [None],
+    "1\t1 / 1\t1\t1 1 / 1\t1 1 2\t1 1\t1\t1\t2\t2 1\t1\t2 1 1 1 2 2\t1 1 / 2": [1, 1, 1, 1, 1, 1, 1, 1, 1, 2, 1, 1, 1, 1, 2, 2, 1, 1, 2, 1, 1, 1, 2, 2, 1, 1, 2],
+    "1, 1;1, 1/1;6, 2;2, 1": [1, 1, 1, 1, 1, 6, 2, 2, 1],
+    "1,2;3|4/5、6，7；8•9 10": list(range(1, 11)),
+    "['1', '2', \"3,000\"]": [1, 2, 3000],
+    "1,,2": [1, 2],
 }
 
 
@@ -39,6 +46,39 @@ def test_cheapest_dialect(text, want):
     assert packed.cheapest(text, PRICES) == want
 
 
+def every_dialect(text, prices):
+    """The cost of the cheapest dialect of all."""
+    body, least = packed._body(text), math.inf
+    for quotes in {"".join(q for q in packed.QUOTES if q in body), ""}:
+        insides = ["".join(m) if isinstance(m, tuple) else m for m in packed._quoted(quotes).findall(body)] if quotes else []
+        masked = (packed._quoted(quotes).sub(packed._mask, body) if quotes else body).strip()
+        for chosen in packed._subsets(packed.DELIMITERS + packed.BLANK):
+            if all(c in masked or c == packed.BLANK for c in chosen):
+                parts = [p for x in (packed._pattern(chosen).split(masked) if chosen else [masked]) if (p := x.strip())]
+                least = min(least, packed._structure(chosen, quotes, len(parts)) + bits(packed._pieces(parts, insides), prices))
+    return least
+
+
+def bits(pieces, prices):
+    return sum(prices.of[f] + (packed.BAD_CHAR_BITS * size if f == "x" else packed.DIGIT_BITS * digits) for f, _, digits, size in pieces)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["1", "22", "333", "1.0", "x", "'4'", '"5,5"', ",", ";", " ", "/", "|", ", ", " ; "]), max_size=14), st.sampled_from([1.0, 9.0, 18.0]))
+def test_no_dialect_is_cheaper(parts, bad):
+    prices = packed.Prices(BITS | {"x": bad})
+    body = packed._body("".join(parts))
+    if not body.strip():
+        return
+    least = every_dialect("".join(parts), prices)
+    found = packed.parsed(body, prices)
+    masked_names = [packed._structure(c, q, len(found)) for q in {"".join(q for q in packed.QUOTES if q in body), ""} for c in packed._subsets(packed.DELIMITERS + packed.BLANK)]
+    assert min(abs(least - bits(found, prices) - m) for m in masked_names) < 1e-6
+    plain = packed._integers(body)
+    if plain is not None and prices.plain.issuperset(map(len, plain)):
+        assert [v for _, v, _, _ in found] == list(map(int, plain))
+
+
 def test_very_long_field():
     assert packed.cheapest("; ".join(str(i) for i in range(10000, 40000)), PRICES) == list(range(10000, 40000))
 
