@@ -1,7 +1,7 @@
 """How often every distinct term occurs, and in how many records, by recursive radix spilling.
 
 Partial counts are partitioned by the leading bits of the term's hash and written to the shared folder; partitions that
-came out too large are split by further bits; each leaf is then streamed through DuckDB, which aggregates out of core.
+came out too large are split by further bits; each leaf is then read from its own files by a DuckDB, which aggregates it.
 A term that a third of all records hold is one partial row per batch of input by then, so it cannot fill a partition.
 """
 
@@ -12,10 +12,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import dataset
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.session import cut, scratch_path, shared_folder, wide
+from loomwork.operators.packed import distinct_values
+from loomwork.session import cut, scratch_path, shared_folder
 
 #: Partial rows that one leaf should hold at most, hash bits by which a large partition is split, memory of a DuckDB.
 LEAF_ROWS, SPLIT_BITS, DUCK_MEMORY = 2_000_000, 4, "400MB"
@@ -49,19 +51,21 @@ def _partial(terms: str, kind: pa.DataType):
     return run
 
 
-def _aggregate(spill: str | None, kind: pa.DataType):
-    """Sums the partial rows of a Spark partition in DuckDB, streamed in and out."""
-    schema = pa.schema([("term", kind), ("occ", pa.int64()), ("recs", pa.int64())])
+def _aggregate(spill: str, kind: pa.DataType):
+    """Sums the partial rows of leaves in DuckDB, each streamed from its files and out again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
-        con = duckdb.connect(config={"memory_limit": DUCK_MEMORY, "threads": "1", **({"temp_directory": spill} if spill else {})})
-        stream = pa.RecordBatchReader.from_batches(schema, (pa.RecordBatch.from_arrays(b.columns, schema=schema) for b in batches))
-        con.register("partial", stream)
-        sums = con.sql("SELECT term, CAST(sum(occ) AS BIGINT) AS occurrences, CAST(sum(recs) AS BIGINT) AS records FROM partial GROUP BY term")
-        yield from sums.to_arrow_reader(65536) if hasattr(sums, "to_arrow_reader") else sums.fetch_arrow_reader(65536)
-        con.close()
+        for path in (p for batch in batches for p in batch.column(0).to_pylist()):
+            if path.startswith("file:"):
+                path = "/" + path.removeprefix("file:").lstrip("/")
+            leaf = dataset.dataset(path, format="parquet", schema=pa.schema([("term", kind), ("occ", pa.int64()), ("recs", pa.int64())]))
+            con = duckdb.connect(config={"memory_limit": DUCK_MEMORY, "threads": "1", "temp_directory": spill})
+            con.register("partial", leaf.scanner(batch_size=65536, use_threads=False).to_reader())
+            sums = con.sql("SELECT term, CAST(sum(occ) AS BIGINT) AS occurrences, CAST(sum(recs) AS BIGINT) AS records FROM partial GROUP BY term")
+            yield from sums.to_arrow_reader(65536) if hasattr(sums, "to_arrow_reader") else sums.fetch_arrow_reader(65536)
+            con.close()
 
     return run
 
@@ -75,6 +79,9 @@ def term_counts(records: DataFrame, terms: str, leaf_rows: int = LEAF_ROWS) -> D
 
     Each row of ``records`` is one record, or the part of a record that holds all of it there is of some terms. Null
     arrays and null elements count nothing. An empty table gives no rows. No term is left out and nothing is sampled.
+
+    A leaf has at most ``leaf_rows`` partial rows, which fit the memory of its DuckDB, or one hash, so it is a few groups.
+    Should a leaf need more, DuckDB spills to the shared folder where that is a path of files; elsewhere it does not spill.
     """
     spark = records.sparkSession
     element = records.schema[terms].dataType.elementType
@@ -90,20 +97,17 @@ def term_counts(records: DataFrame, terms: str, leaf_rows: int = LEAF_ROWS) -> D
         rows.withColumn("digit", _digit(bits)).repartition("digit").write.partitionBy("digit").parquet(path)
         level = spark.read.schema(f"term {name}, occ bigint, recs bigint, hash bigint, digit bigint").parquet(path)
         sizes = level.groupBy("digit").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("lo"), F.max("hash").alias("hi"))
-        # At most one in leaf_rows of the partial rows: a split that all its rows share the hash of can't be split further.
-        large = [r.digit for r in sizes.filter((F.col("n") > leaf_rows) & (F.col("lo") != F.col("hi"))).select("digit").collect()] if bits < 60 else []
-        inside = F.col("digit").isin(large) if large else F.lit(False)
-        leaves.append(level.filter(~inside).withColumn("bits", F.lit(bits)))
+        # One entry for each partition, of which there is one for some leaf_rows / 2 of the partial rows. Rows that share their
+        # hash can't be split further.
+        found = sizes.collect()
+        large = [r.digit for r in found if r.n > leaf_rows and r.lo != r.hi and bits < 60]
+        leaves += [f"{path}/digit={r.digit}" for r in found if r.digit not in set(large)]
         if not large:
             break
-        rows, bits = level.filter(inside).drop("digit"), bits + SPLIT_BITS
-    every = leaves[0]
-    for more in leaves[1:]:
-        every = every.unionByName(more)
+        rows, bits = level.filter(F.col("digit").isin(large)).drop("digit"), bits + SPLIT_BITS
     folder = shared_folder(spark)
-    spill = folder.removeprefix("file:") if folder.startswith(("file:", "/")) else None
-    spill = "/" + spill.lstrip("/") + "/duckdb" if spill else None
-    parts = wide(every, "bits", "digit").select("term", "occ", "recs")
+    spill = "/" + folder.removeprefix("file:").strip("/") + "/duckdb" if folder.startswith(("file:", "/")) else ""
+    parts = spark.createDataFrame([(x,) for x in leaves], "leaf string").repartition(max(1, len(leaves)))
     return parts.mapInArrow(_aggregate(spill, kind), f"term {name}, occurrences bigint, records bigint")
 
 
@@ -116,15 +120,11 @@ def marked(counts: DataFrame, n_records: Column, rare_records: int = 2, common_s
     return counts.withColumn("mark", F.when(F.col("records") <= rare_records, "rare").when(common, "common"))
 
 
-def packed_records(sets: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
-    """Unpacked records (key, feats, vals) as arrays of terms for ``term_counts``.
+def packed_records(once: DataFrame, several: DataFrame, key: str, feats: str, vals: str) -> DataFrame:
+    """Unpacked records (key, feats, vals), of keys with one row and of keys with more, as arrays of terms for ``term_counts``.
 
     A key with one row is one record. Of a key with several rows each distinct (position, feature, value) counts
     once; it gives a row for each of its features, which together are its one record.
     """
-    several = sets.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(key)
-    once = sets.join(several, key, "left_anti").select(feats)
-    rows = sets.join(several, key, "left_semi").select(key, vals, F.posexplode(feats).alias("pos", "feat"))
-    rows = rows.select(key, "pos", "feat", F.get(vals, F.col("pos")).alias("val")).distinct()
-    each = rows.groupBy(key, "feat").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    return once.unionByName(each.select(F.array_repeat("feat", F.col("n")).alias(feats)))
+    each = distinct_values(several, key, feats, vals).groupBy(key, "feat").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return once.select(feats).unionByName(each.select(F.array_repeat("feat", F.col("n")).alias(feats)))

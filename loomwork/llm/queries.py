@@ -15,8 +15,8 @@ SHARES = [0.05, 0.25, 0.5, 0.75, 0.95]
 def p1_counts(spark: SparkSession, folder: str) -> DataFrame:
     """(feat, occurrences, records, mark) of every feature."""
     t6 = read(spark, folder, "test_calculate_desc_t6")
-    sets = cut(packed.unpack_pairs(t6, "descriptor_vector_id", "fp_feat", "fp_val"), "unpacked")
-    records = frequency.packed_records(sets, "descriptor_vector_id", "fp_feat", "fp_val")
+    sets = packed.value_sets(t6, "descriptor_vector_id", "fp_feat", "fp_val")
+    records = frequency.packed_records(*sets, "descriptor_vector_id", "fp_feat", "fp_val")
     counts = frequency.term_counts(records, "fp_feat").withColumnRenamed("term", "feat")
     total = t6.select("descriptor_vector_id").filter(F.col("descriptor_vector_id").isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
     return frequency.marked(counts, total)
