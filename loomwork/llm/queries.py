@@ -92,22 +92,19 @@ def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     are those of ``unknown``.
     """
     when = F.coalesce(F.concat(F.year("loaded_at"), F.lit("-Q"), F.quarter("loaded_at")), F.lit("unknown"))
-    t1 = read(spark, folder, "t1").filter(F.col("input_assay_id").isNotNull())
-    parts = t1.select(F.struct(F.col("input_assay_id").alias("assay"), when.alias("period")).alias("part"), "standard_value")
-    sketches = cut(quantiles.build(parts, "part", "standard_value"), "sketches")
-    quarterly = quantiles.percentiles(sketches, "part", SHARES)
-    whole = quantiles.percentiles(sketches.withColumn("input_assay_id", F.col("part.assay")), "input_assay_id", SHARES)
-    columns = ["share", "n_values", "value", "rank_error"]
-    each = quarterly.select(F.col("part.assay").alias("input_assay_id"), F.col("part.period").alias("period"), *columns)
-    return each.unionByName(whole.select("input_assay_id", F.lit("all").alias("period"), *columns))
+    parts = read(spark, folder, "t1").select("input_assay_id", when.alias("period"), "standard_value")
+    sketches = cut(quantiles.build(parts, ["input_assay_id", "period"], "standard_value"), "sketches")
+    quarterly = quantiles.percentiles(sketches, ["input_assay_id", "period"], SHARES)
+    whole = quantiles.percentiles(sketches, "input_assay_id", SHARES)
+    columns = ["input_assay_id", "period", "share", "n_values", "value", "rank_error"]
+    return quarterly.select(*columns).unionByName(whole.withColumn("period", F.lit("all")).select(*columns))
 
 
 def p6_merged_years(spark: SparkSession, folder: str) -> DataFrame:
     """The same percentiles from sketches of each year's loads, added up."""
-    t1 = read(spark, folder, "t1").withColumn("part", F.struct(F.year("loaded_at").alias("y"), F.col("input_assay_id").alias("a")))
-    yearly = quantiles.build(t1.filter(F.col("input_assay_id").isNotNull()), "part", "standard_value")
-    merged = quantiles.merge(yearly.withColumn("input_assay_id", F.col("part.a")), "input_assay_id")
-    return quantiles.percentiles(merged, "input_assay_id", SHARES)
+    t1 = read(spark, folder, "t1").select("input_assay_id", F.coalesce(F.year("loaded_at"), F.lit(0)).alias("year"), "standard_value")
+    yearly = quantiles.merge(quantiles.build(t1, ["input_assay_id", "year"], "standard_value"), ["input_assay_id", "year"])
+    return quantiles.percentiles(yearly, "input_assay_id", SHARES)
 
 
 def p6_rank_check(spark: SparkSession, folder: str) -> DataFrame:
