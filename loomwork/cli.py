@@ -36,7 +36,7 @@ def aggregation(run: pipeline.Run, a: argparse.Namespace) -> None:
     t0, t1 = load(run.spark, a.assays, tables.SCHEMAS["t0"]), load(run.spark, a.values, tables.SCHEMAS["t1"])
     t5 = load(run.spark, a.vectors, tables.SCHEMAS["t5"])
     run.check_inputs(t0, t1)
-    r = aggregate.Replicates(tables.ingest_assays(t0), tables.ingest_values(t1), tables.ingest_vectors(t5), run.config)
+    r = aggregate.Replicates(tables.ingest_assays(t0), tables.ingest_values(t1), tables.ingest_vectors(t5), run.config).settle(run.keep)
     run.keep("T4r", r.t4r())
     run.keep("T0_upd", r.t0_updated())
 

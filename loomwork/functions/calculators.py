@@ -121,16 +121,16 @@ class Fingerprint(Calculator):
 
 @dataclass
 class Scaffold(Calculator):
-    """murcko_smiles; the fold is drawn from it by ``keyed.keyed_folds``."""
+    """murcko_smiles and sn_smiles; the fold is drawn from the latter by ``keyed.keyed_folds``. Both are the plain scaffold."""
 
     inputs: ClassVar = ("canonical_smiles",)
-    outputs: ClassVar = {"murcko_smiles": "string"}
+    outputs: ClassVar = {"murcko_smiles": "string", "sn_smiles": "string"}
 
     def calculate(self, smiles) -> tuple:
         chem = toolkit()
         from rdkit.Chem.Scaffolds import MurckoScaffold
 
-        return (chem.MolToSmiles(MurckoScaffold.GetScaffoldForMol(chem.MolFromSmiles(smiles))) or None,)
+        return (chem.MolToSmiles(MurckoScaffold.GetScaffoldForMol(chem.MolFromSmiles(smiles))) or None,) * 2
 
 
 def structures(t2: DataFrame, config: Config = Config()) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwork.operators.skew import skew_join
+
 _BLOCK = 64
 
 
@@ -61,7 +63,8 @@ def fold_of(text: str, secret: str, nfolds: int) -> int:
 def keyed_folds(df: DataFrame, column: str, secret: str, nfolds: int, name: str = "fold_id") -> DataFrame:
     """``df`` with the fold of each text of ``column``; a null text stands as ``None``, so all of those share a fold.
 
-    Folds are drawn once for each distinct text.
+    Folds are drawn once for each distinct text. Texts that many rows share, such as ``None``, meet their fold by a broadcast of a
+    bounded number of rows. ``df`` is read several times, so it should be a table.
     """
     texts = df.select(F.coalesce(column, F.lit("None")).alias("__text")).distinct()
 
@@ -70,4 +73,4 @@ def keyed_folds(df: DataFrame, column: str, secret: str, nfolds: int, name: str
             yield batch.assign(**{name: [fold_of(t, secret, nfolds) for t in batch["__text"]]})
 
     folds = texts.mapInPandas(draw, f"__text string, {name} int")
-    return df.withColumn("__text", F.coalesce(column, F.lit("None"))).join(folds, "__text").drop("__text")
+    return skew_join(df.withColumn("__text", F.coalesce(column, F.lit("None"))), folds, "__text").drop("__text")

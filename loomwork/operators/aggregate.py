@@ -86,28 +86,29 @@ def aggregate_groups(rows: DataFrame) -> DataFrame:
     keeps its value and qualifier. A median without a majority qualifier has a null qualifier.
     """
     attributes = ["assay_type", "is_binary", "direction"]
-    grouped = rows.groupBy(*GROUP, *attributes).agg(F.count(F.lit(1)).alias("n_replicates"), *[c.alias(n) for n, c in candidates().items()])
     kind, direction = F.col("assay_type"), F.col("direction")
-    chosen = (
-        F.when(F.col("n_replicates") == 1, F.col("least"))
-        .when(F.col("is_binary"), F.col("mode"))
-        .when(kind.isin("NON-CATALOG-PANEL", "OTHER"), F.col("most"))
-        .when(kind == "ADME", F.col("median"))
-        .when(direction == "low", F.col("least"))
-        .when(direction == "high", F.col("most"))
-        .otherwise(F.col("largest"))
-    )
+    v, q = F.col("standard_value"), F.col("qualifier")
+    most = kind.isin("NON-CATALOG-PANEL", "OTHER") | (~kind.isin("ADME") & (direction == "high"))
+    least = ~kind.isin("NON-CATALOG-PANEL", "OTHER") & (direction == "low")
+    # One choice for each group: of the maximum, values below a bound come last.
+    key = F.when(most, -v).when(least, v).otherwise(-F.abs(v))
+    picked = F.min(F.struct(F.coalesce(most & (q == "<"), F.lit(False)).alias("below"), key.alias("k"), "seen", "qualifier", v.alias("v")))
+    median = F.struct(F.percentile(F.when((kind == "ADME") & ~F.col("is_binary"), v), 0.5).alias("value"), qualifier_mode(q).alias("qualifier"))
+    mode = F.struct(value_mode(F.when(F.col("is_binary"), v)).alias("value"), F.lit("=").alias("qualifier"))
+    grouped = rows.groupBy(*GROUP, *attributes).agg(F.count(F.lit(1)).alias("n_replicates"), picked.alias("picked"), median.alias("median"), mode.alias("mode"))
+    pick = F.struct(F.col("picked.v").alias("value"), F.col("picked.qualifier").alias("qualifier"))
+    chosen = F.when(F.col("n_replicates") == 1, pick).when(F.col("is_binary"), F.col("mode")).when(kind == "ADME", F.col("median")).otherwise(pick)
     out = grouped.select(*GROUP, "assay_type", "n_replicates", chosen.alias("chosen"))
     return out.select(*GROUP, "assay_type", "n_replicates", F.col("chosen.qualifier").alias("standard_qualifier"), F.col("chosen.value").alias("standard_value"))
 
 
-def fold_variance(values: DataFrame, min_std: float) -> DataFrame:
-    """(input_assay_id, constant): whether some fold has no spread; a fold that the assay lacks, or with one value, has none.
+def fold_variance(values: DataFrame, min_std: float, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> DataFrame:
+    """(input_assay_id, catalog, constant): whether some fold has no spread; a fold that the assay lacks, or with one value, has none.
 
     Folds are those that occur in any assay of the same subset, catalog or not.
     """
     catalog = F.col("assay_type") == "CATALOG-PANEL"
-    per_fold = values.groupBy("input_assay_id", catalog.alias("catalog"), "fold_id").agg(F.stddev_samp("standard_value").alias("sd"))
+    per_fold = keep("T0_fold_spread", values.groupBy("input_assay_id", catalog.alias("catalog"), "fold_id").agg(F.stddev_samp("standard_value").alias("sd")))
     folds = per_fold.groupBy("catalog").agg(F.countDistinct("fold_id").alias("n_folds"))
     per_assay = per_fold.groupBy("input_assay_id", "catalog").agg(F.count("sd").alias("n"), F.min("sd").alias("sd"))
     constant = (F.col("n") < F.col("n_folds")) | F.coalesce(F.col("sd") <= min_std, F.lit(True))
@@ -130,9 +131,9 @@ class Replicates:
         self._set(aggregate_groups(accepted), lambda name, df: df)
 
     def _set(self, grouped: DataFrame, keep: Callable[[str, DataFrame], DataFrame]) -> None:
-        self.grouped = grouped
+        self.grouped, self.keep = grouped, keep
         self.valued = grouped.filter(F.col("standard_qualifier").isNotNull())
-        self.variance = keep("T0_variance", fold_variance(self.valued, self.config.min_std))
+        self.variance = keep("T0_variance", fold_variance(self.valued, self.config.min_std, keep))
 
     def settle(self, keep: Callable[[str, DataFrame], DataFrame]) -> Replicates:
         """The same tables, from groups and variances that ``keep`` has written, for runs that need several of them."""
@@ -145,7 +146,8 @@ class Replicates:
 
     def duplicates(self) -> DataFrame:
         """All accepted members of groups with several replicates."""
-        rows = duplicated(self.accepted, GROUP)
+        columns = [*GROUP, "input_compound_id", "qualifier", "standard_value"]
+        rows = duplicated(self.keep("T1_accepted", self.accepted.select(*columns)), GROUP)
         return rows.select("input_assay_id", "input_compound_id", "descriptor_vector_id", "fold_id", F.col("qualifier").alias("standard_qualifier"), "standard_value")
 
     def failed_aggregation(self) -> DataFrame:

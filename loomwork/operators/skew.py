@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.session import cut
+
 #: A key with more than this share of the rows counts as heavy: at most 256 keys.
 HEAVY_SHARE = 1 / 256
 
@@ -20,8 +22,8 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -
 
     Rows with a null key count into the total; a null key itself may be heavy. An empty table has no heavy key.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counts.agg(F.sum("n_rows")).scalar()  # from the same exchange
     return counts.filter(F.col("n_rows") > F.lit(share) * total)
 
 
@@ -75,54 +77,39 @@ def salted_aggregate(
 
 
 def value_statistics(df: DataFrame, key: str, value: str, salts: int = 64, share: float = HEAVY_SHARE) -> DataFrame:
-    """Per key: rows, finite values, their sum (exact decimal), mean, smallest, largest and sample standard deviation.
+    """Per key: rows, finite values, their mean, smallest, largest and sample standard deviation.
 
     Null, NaN and infinite values count in ``n_rows`` only. A key without finite values has null statistics, one with
-    a single value has a null deviation. Values beyond 1e24 in size count, but fall out of the decimal sum's range and
-    leave ``mean`` null. Moments of the salts are merged by the pairwise update of counts, means and squared
-    deviations.
+    a single value has a null deviation. Means and squared deviations of the salts are merged around the common mean. Where all
+    values are equal, the mean is that value and the deviation 0.
     """
     v = F.col(value).cast("double")
     finite = F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
-    exact = finite.try_cast("decimal(31,6)")
     partial = {
         "__n": F.count(F.lit(1)),
         "__k": F.count(finite),
-        "__s": F.try_sum(exact),
         "__m": F.avg(finite),
         "__q": F.var_pop(finite) * F.count(finite),
         "__lo": F.min(finite),
         "__hi": F.max(finite),
-        "__over": F.count(F.when(finite.isNotNull() & exact.isNull(), 1)),
     }
-    k, m = F.col("__k"), F.col("__m")
     merge = {
         "n_rows": F.sum("__n"),
         "n_values": F.sum("__k"),
-        "__over": F.sum("__over"),
-        "__sum": F.try_sum("__s"),
         "min_value": F.min("__lo"),
         "max_value": F.max("__hi"),
-        "__k1": F.sum(k * m),
-        "__k2": F.sum(k * m * m),
-        "__m2": F.sum("__q"),
+        "__parts": F.collect_list(F.when(F.col("__k") > 0, F.struct("__k", "__m", "__q"))),  # one for each salt at most
     }
     out = salted_aggregate(df.select(key, value), key, partial, merge, salts, share)
-    n = F.col("n_values")
-    between = F.col("__k2") - F.col("__k1") * F.col("__k1") / n
-    return out.select(
-        key,
-        "n_rows",
-        "n_values",
-        F.when((n > 0) & (F.col("__over") == 0), F.col("__sum").cast("double") / n).alias("mean_value"),
-        "min_value",
-        "max_value",
-        F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("__m2") + between) / (n - 1))).alias("std_value"),
-    )
+    n, lo, hi = F.col("n_values"), F.col("min_value"), F.col("max_value")
+    total = lambda term: F.aggregate("__parts", F.lit(0.0), lambda s, x: s + term(x))
+    out = out.withColumn("mean_value", F.when(lo == hi, lo).when(n > 0, total(lambda x: x["__k"] / n * x["__m"])))
+    spread = total(lambda x: x["__q"] + x["__k"] * F.pow(x["__m"] - F.col("mean_value"), 2))
+    std = F.when(n > 1, F.when(lo == hi, 0.0).otherwise(F.sqrt(spread / (n - 1)))).alias("std_value")
+    return out.select(key, "n_rows", "n_values", "mean_value", "min_value", "max_value", std)
 
 
 def keys_above(df: DataFrame, key: str, share: float, salts: int = 64) -> DataFrame:
     """The keys, null left out, that hold more than ``share`` of all rows, counted in two salted stages."""
-    counts = salted_aggregate(df.select(key), key, {"__n": F.count(F.lit(1))}, {"n_rows": F.sum("__n")}, salts)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.filter(F.col(key).isNotNull() & (F.col("n_rows") > F.lit(share) * total))
+    counts = cut(salted_aggregate(df.select(key), key, {"__n": F.count(F.lit(1))}, {"n_rows": F.sum("__n")}, salts), "counts")
+    return counts.filter(F.col(key).isNotNull() & (F.col("n_rows") > F.lit(share) * counts.agg(F.sum("n_rows")).scalar()))

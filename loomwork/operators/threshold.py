@@ -37,21 +37,26 @@ def shifted(v: Column, q: Column) -> Column:
 
 
 def assay_statistics(t4r: DataFrame) -> DataFrame:
-    """Per assay, in one pass: medians, quartiles of uncensored values, and the labels that each trial threshold gives."""
-    v, q = F.col("standard_value"), F.col("standard_qualifier")
+    """Per assay: medians, quartiles of uncensored values, and the labels that each trial threshold gives.
+
+    Equal values of an assay are counted first, in parallel; the exact percentiles then come from distinct values and their
+    counts, so an assay with a large share of all rows brings only these to its task.
+    """
+    v, q, n = F.col("standard_value"), F.col("standard_qualifier"), F.col("n")
     free = F.when(q == "=", v)
     trials = {}
     for i, t in enumerate(FIXED_TRIALS):
         label = class_label(v, q, F.lit(t), F.lit("high"))
-        trials |= {f"active_{i}": F.count_if(label == 1), f"inactive_{i}": F.count_if(label == -1)}
-    return t4r.groupBy("input_assay_id").agg(
-        F.percentile(shifted(v, q), 0.5).alias("shifted_median"),
-        F.count(free).alias("n_free"),
-        F.percentile(free, 0.5).alias("free_median"),
-        F.percentile(free, 0.25).alias("free_q25"),
-        F.percentile(free, 0.75).alias("free_q75"),
-        *[c.alias(n) for n, c in trials.items()],
+        trials |= {f"{name}_{i}": F.coalesce(F.sum(F.when(label == x, n)), F.lit(0)) for name, x in (("active", 1), ("inactive", -1))}
+    counts = t4r.groupBy("input_assay_id", v.alias("standard_value"), q.alias("standard_qualifier")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("input_assay_id").agg(
+        F.percentile(shifted(v, q), 0.5, n).alias("shifted_median"),
+        F.coalesce(F.sum(F.when(free.isNotNull(), n)), F.lit(0)).alias("n_free"),
+        F.percentile(free, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n).alias("quartiles"),
+        *[c.alias(name) for name, c in trials.items()],
     )
+    quartiles = [F.get("quartiles", F.lit(i)).alias(name) for i, name in ((1, "free_median"), (0, "free_q25"), (2, "free_q75"))]
+    return found.select("input_assay_id", "shifted_median", "n_free", *quartiles, *trials)
 
 
 def _entry(threshold: Column, method: str | Column) -> Column:

@@ -46,6 +46,11 @@ def _replicates(spark: SparkSession, folder: str) -> aggregate.Replicates:
     return aggregate.Replicates(_t0(spark, folder), _t1(spark, folder), t5, CONFIG)
 
 
+def _settled(spark: SparkSession, folder: str) -> aggregate.Replicates:
+    """The same, with groups and variances written once."""
+    return _replicates(spark, folder).settle(lambda name, df: cut(df, name))
+
+
 class Stages:
     """The tables of a run, each written when it is first asked for."""
 
@@ -60,7 +65,7 @@ class Stages:
 
     def _settled(self) -> aggregate.Replicates:
         if "replicates" not in self._kept:
-            self._kept["replicates"] = _replicates(self.spark, self.folder).settle(lambda name, df: cut(df, name))
+            self._kept["replicates"] = _settled(self.spark, self.folder)
         return self._kept["replicates"]
 
     def t0(self) -> DataFrame:
@@ -150,7 +155,9 @@ def mapped_qualifiers(spark, folder):
 
 @query
 def duplicates_t1(spark, folder):
-    return _replicates(spark, folder).duplicates()
+    r = _replicates(spark, folder)
+    r.keep = lambda name, df: cut(df, name)
+    return r.duplicates()
 
 
 @query
@@ -162,7 +169,7 @@ def replicate_candidates(spark, folder):
 
 @query
 def replicate_aggregation(spark, folder):
-    return _replicates(spark, folder).t4r()
+    return _settled(spark, folder).t4r()
 
 
 @query
@@ -172,12 +179,12 @@ def failed_aggregation(spark, folder):
 
 @query
 def failed_std(spark, folder):
-    return _replicates(spark, folder).failed_std()
+    return _settled(spark, folder).failed_std()
 
 
 @query
 def t0_updated(spark, folder):
-    return _replicates(spark, folder).t0_updated()
+    return _settled(spark, folder).t0_updated()
 
 
 @query

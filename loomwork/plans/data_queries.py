@@ -36,7 +36,9 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_assay_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    return skew.value_statistics(read(spark, folder, "t1"), "input_assay_id", "standard_value").drop("std_value")
+    """Means and deviations to nine digits, as sums of doubles depend on their order."""
+    found = skew.value_statistics(read(spark, folder, "t1"), "input_assay_id", "standard_value")
+    return found.withColumns({c: F.format_string("%.8e", c).cast("double") for c in ("mean_value", "std_value")}).withColumns({c: F.when(F.col("n_values") > n, F.col(c)) for c, n in (("mean_value", 0), ("std_value", 1))})
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_standardizer_rows, p3_fold_rows, p3_reject_report, p4_found, p7_found, p7_assay_statistics)}
@@ -103,7 +105,8 @@ FROM (SELECT *, unnest(range(1, len(feats) + 1)) AS i FROM pieces)""",
     "p7_found": "SELECT input_assay_id FROM t1 WHERE input_assay_id IS NOT NULL GROUP BY 1 HAVING count(*) > 0.02 * (SELECT count(*) FROM t1)",
     "p7_assay_statistics": """
 WITH v AS (SELECT input_assay_id, CASE WHEN isfinite(standard_value) THEN standard_value END AS x FROM t1)
-SELECT input_assay_id, count(*) AS n_rows, count(x) AS n_values,
-  CAST(sum(CAST(x AS DECIMAL(31, 6))) AS DOUBLE) / count(x) AS mean_value, min(x) AS min_value, max(x) AS max_value
+SELECT input_assay_id, count(*) AS n_rows, count(x) AS n_values, min(x) AS min_value, max(x) AS max_value,
+  CAST(printf('%.8e', CASE WHEN min(x) = max(x) THEN min(x) ELSE avg(x) END) AS DOUBLE) AS mean_value,
+  CASE WHEN count(x) > 1 THEN CAST(printf('%.8e', CASE WHEN min(x) = max(x) THEN 0.0 ELSE stddev_samp(x) END) AS DOUBLE) END AS std_value
 FROM v GROUP BY 1""",
 }

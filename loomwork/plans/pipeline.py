@@ -25,7 +25,7 @@ DELIVERY = {
 
 
 # The column that each way of folding draws from.
-FOLDINGS = {"scaffold": "murcko_smiles", "lsh": "lsh"}
+FOLDINGS = {"scaffold": "sn_smiles", "lsh": "lsh"}
 
 
 class Run:
@@ -71,7 +71,7 @@ class Run:
         self.keep("T2_failed", failed)
         # The bits are those of the features before these are scrambled.
         done = done.withColumn("lsh", keyed.bit_string(F.col("fp_feat").cast("array<bigint>"), self.config.lsh_bits))
-        scrambled = keyed.scramble(done, "fp_feat", self.config.key, self.config.fold_size)
+        scrambled = self.keep("T2_descriptors", keyed.scramble(done, "fp_feat", self.config.key, self.config.fold_size))
         folds = keyed.keyed_folds(scrambled, FOLDINGS[folding], self.config.key, self.config.nfolds).drop("lsh")
         texts = folds.withColumns({c: features.to_json_list(F.col(c)) for c in ("fp_feat", "fp_val")})
         t5, t6, duplicates = ids.descriptor_ids(self.keep("T2_folds", texts))
