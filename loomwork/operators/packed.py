@@ -74,18 +74,34 @@ class Prices:
     """Bits of the form of a value, besides its digits, and which integers can't be cheaper as anything else."""
 
     def __init__(self, bits: dict[str, float] | None = None):
+        self.bits = bits
         forms = [f"{kind}{n}" for kind in KINDS for n in range(MOST_DIGITS + 1)]
         if bits is None:
             self.of = dict.fromkeys(forms, math.log2(len(forms))) | {"x": PRIOR_BAD_BITS}
         else:
             unseen = max(bits.values(), default=0.0) + 1.0
             self.of = {form: bits.get(form, unseen) for form in (*forms, "x")}
+        self.piece, self.quoted = (lru_cache(1 << 17)(lambda text, read=read: self._priced(*read(text), len(text))) for read in (piece_value, quoted_value))
         # Where all values of a field are integers between equal separators, other dialects have pieces that are no values.
         # None of them is cheaper if each value has fewer bits than its characters and one separator, and a piece 8 bits of its own.
         fits = lambda n: self.of[f"i{n}"] + DIGIT_BITS * n <= BAD_CHAR_BITS * (n + 1)
         self.plain = frozenset(n for n in range(1, MOST_DIGITS) if fits(n)) if self.of["x"] >= BAD_CHAR_BITS else frozenset()
 
 
+    def __reduce__(self) -> tuple:
+        return Prices, (self.bits,)  # caches stay behind
+
+    def _priced(self, form: str, value: int | None, digits: int, size: int) -> tuple[str, int | None, int, float, float]:
+        """(form, value, digits, bits, the least bits that its characters have in any dialect)."""
+        if form == "x":
+            return self.bad(size)
+        cost = self.of[form] + DIGIT_BITS * digits
+        return form, value, digits, cost, min(cost, BAD_CHAR_BITS * size)
+
+    def bad(self, size: int) -> tuple[str, None, int, float, float]:
+        return "x", None, 0, self.of["x"] + BAD_CHAR_BITS * size, BAD_CHAR_BITS * size
+
+
 @lru_cache(4096)
 def _pattern(chosen: str) -> re.Pattern:
     return re.compile("[" + "".join(re.escape(c) for c in chosen if c != BLANK) + (r"\s" if BLANK in chosen else "") + "]")
@@ -101,18 +117,18 @@ def _quoted(quotes: str) -> re.Pattern:
     return re.compile("|".join(f"{q}([^{q}]*){q}" for q in quotes))
 
 
-def _pieces(parts: list[str], insides: list[str]) -> Iterator[tuple[str, int | None, int, int]]:
-    """(form, value, digits, length of the text) of each part, of which masks stand for the quoted ``insides``."""
+def _pieces(parts: list[str], insides: list[str], prices: Prices) -> Iterator[tuple]:
+    """What ``Prices.piece`` tells of each part, of which masks stand for the quoted ``insides``."""
     at = 0
     for p in parts:
         if _mask not in p:
-            yield (*piece_value(p), len(p))
+            yield prices.piece(p)
         elif p == _mask:
-            yield (*quoted_value(insides[at]), len(insides[at]))
+            yield prices.quoted(insides[at])
             at += 1
         else:
             n = p.count(_mask)
-            yield "x", None, 0, len(p) + sum(2 + len(x) for x in insides[at : at + n])
+            yield prices.bad(len(p) + sum(2 + len(x) for x in insides[at : at + n]))
             at += n
 
 
@@ -132,25 +148,27 @@ def _structure(chosen: str, quotes: str, parts: int) -> float:
     return NAME_BITS * (len(chosen) + len(quotes)) + (math.log2(len(chosen)) * parts if len(chosen) > 1 else 0.0)
 
 
-def parsed(body: str, prices: Prices) -> list[tuple[str, int | None, int, int]]:
+def parsed(body: str, prices: Prices) -> list[tuple]:
     """The pieces of a field, without its brackets, under its cheapest dialect; of equal ones the first tried."""
     best: list = []
     least = math.inf
     present = "".join(q for q in QUOTES if q in body)
 
-    def attempt(chosen: str, quotes: str, masked: str, insides: list[str]) -> None:
+    def attempt(chosen: str, quotes: str, masked: str, insides: list[str]) -> list | None:
         nonlocal best, least
         parts = [p for x in (_pattern(chosen).split(masked) if chosen else [masked]) if (p := x.strip())]
         cost, found = _structure(chosen, quotes, len(parts)), []
-        for piece in _pieces(parts, insides):
-            form, _, digits, size = piece
-            cost += prices.of[form] + (BAD_CHAR_BITS * size if form == "x" else DIGIT_BITS * digits)
+        for piece in _pieces(parts, insides, prices):
+            cost += piece[3]
             if cost >= least:
-                return
+                return None
             found.append(piece)
         best, least = found, cost
+        return found
 
     for quotes in dict.fromkeys((present, "")):
+        if best and BAD_CHAR_BITS * sum(map(body.count, present)) + prices.of["x"] + DIGIT_BITS * sum(p[2] for p in best) >= least:
+            break  # each quote is a bad character then, and each digit costs its bits at least
         insides = ["".join(m) if isinstance(m, tuple) else m for m in _quoted(quotes).findall(body)] if quotes else []
         masked = (_quoted(quotes).sub(_mask, body) if quotes else body).strip()
         split = _separator.split(masked)
@@ -158,14 +176,14 @@ def parsed(body: str, prices: Prices) -> list[tuple[str, int | None, int, int]]:
         marks = {c for s in separators for c in s if c in DELIMITERS}
         blank = any(s.isspace() for s in separators)
         full = "".join(c for c in DELIMITERS if c in marks) + BLANK * blank
-        attempt(full, quotes, masked, insides)
+        found = attempt(full, quotes, masked, insides)
         every = full if blank or not any(c.isspace() for s in separators for c in s) else full + BLANK
-        atoms = [a for a in split[::2] if a]
-        bound = sum(min(prices.of[form] + DIGIT_BITS * digits if form != "x" else math.inf, BAD_CHAR_BITS * size) for form, _, digits, size in _pieces(atoms, insides))
+        bound = sum(p[4] for p in found or _pieces([a for a in split[::2] if a], insides, prices)) + prices.of["x"]
         for chosen in _subsets(every):
-            left = sum(n * (sum(c in DELIMITERS and c not in chosen for c in s) or (s.isspace() and BLANK not in chosen)) for s, n in separators.items())
-            if left and _structure(chosen, quotes, 0) + bound + BAD_CHAR_BITS * left + prices.of["x"] < least:
-                attempt(chosen, quotes, masked, insides)
+            if _structure(chosen, quotes, 0) + bound < least:
+                left = sum(n * (sum(c in DELIMITERS and c not in chosen for c in s) or (s.isspace() and BLANK not in chosen)) for s, n in separators.items())
+                if left and _structure(chosen, quotes, 0) + bound + BAD_CHAR_BITS * left < least:
+                    attempt(chosen, quotes, masked, insides)
     return best
 
 
@@ -182,7 +200,7 @@ def cheapest(text: str | None, prices: Prices) -> list[int | None]:
     if plain is not None and prices.plain.issuperset(map(len, plain)):
         values = list(map(int, plain))
     else:
-        values = [value for _, value, _, _ in parsed(body, prices)]
+        values = [piece[1] for piece in parsed(body, prices)]
     most = 2**63
     return values if all(v is not None and v < most for v in values) else [v if v is not None and v < most else None for v in values]
 
@@ -195,7 +213,7 @@ def count_forms(text: str, prices: Prices, seen: Counter) -> None:
         for n, times in Counter(lengths).items():
             seen[f"i{n}"] += times
     else:
-        seen.update(form for form, _, _, _ in parsed(body, prices))
+        seen.update(piece[0] for piece in parsed(body, prices))
 
 
 def code_lengths(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:

@@ -55,12 +55,12 @@ def every_dialect(text, prices):
         for chosen in packed._subsets(packed.DELIMITERS + packed.BLANK):
             if all(c in masked or c == packed.BLANK for c in chosen):
                 parts = [p for x in (packed._pattern(chosen).split(masked) if chosen else [masked]) if (p := x.strip())]
-                least = min(least, packed._structure(chosen, quotes, len(parts)) + bits(packed._pieces(parts, insides), prices))
+                least = min(least, packed._structure(chosen, quotes, len(parts)) + bits(packed._pieces(parts, insides, prices)))
     return least
 
 
-def bits(pieces, prices):
-    return sum(prices.of[f] + (packed.BAD_CHAR_BITS * size if f == "x" else packed.DIGIT_BITS * digits) for f, _, digits, size in pieces)
+def bits(pieces):
+    return sum(p[3] for p in pieces)
 
 
 @settings(max_examples=300, deadline=None)
@@ -73,10 +73,10 @@ def test_no_dialect_is_cheaper(parts, bad):
     least = every_dialect("".join(parts), prices)
     found = packed.parsed(body, prices)
     masked_names = [packed._structure(c, q, len(found)) for q in {"".join(q for q in packed.QUOTES if q in body), ""} for c in packed._subsets(packed.DELIMITERS + packed.BLANK)]
-    assert min(abs(least - bits(found, prices) - m) for m in masked_names) < 1e-6
+    assert min(abs(least - bits(found) - m) for m in masked_names) < 1e-6
     plain = packed._integers(body)
     if plain is not None and prices.plain.issuperset(map(len, plain)):
-        assert [v for _, v, _, _ in found] == list(map(int, plain))
+        assert [p[1] for p in found] == list(map(int, plain))
 
 
 def test_very_long_field():
