@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -79,6 +80,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_counted(df: DataFrame, name: str = "cut") -> tuple[DataFrame, int]:
+    """The same, with the number of its rows, which the tasks that write them count."""
+    seen = Observation()
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get.get("n", 0)
+
+
 def wide(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` by hash of ``keys`` in as many partitions as shuffles have.
 
