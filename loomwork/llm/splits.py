@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,12 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomwork.operators.skew import skew_join
-from loomwork.session import cut
+from loomwork.session import cut, cut_counted
 
-#: Groups above this share of all records are placed one by one: at most its inverse, 1,000 of them.
-LARGE_SHARE = 0.001
-#: Buckets of the cumulative sum; each holds about that part of the small groups.
-BUCKETS = 1024
+#: Weights of the largest group that one turn through the splits should have room for.
+TURN_GROUPS = 64
 # Spellings that stand for no key, compared in lower case.
 NO_KEY = ("", "none", "nan", "n/a")
 
@@ -26,41 +25,41 @@ def key_or_null(c: Column) -> Column:
     return F.when(~F.lower(t).isin(*NO_KEY), t)
 
 
+# Edges without loops, repeats and nulls, the smaller end first; the vertices that collapse in a round, each with its mate; and
+# the edges that a round leaves.
+EDGES = "SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM {source} WHERE a <> b"
+MATES = """SELECT u, min(v) AS to FROM (SELECT inline(array(struct(a AS u, b AS v), struct(b AS u, a AS v))) FROM {source})
+    WHERE xxhash64(u, {seed}, {round}) & 1 = 0 AND xxhash64(v, {seed}, {round}) & 1 = 1 GROUP BY u"""
+MOVED = """(SELECT coalesce(x.to, e.a) AS a, coalesce(y.to, e.b) AS b
+    FROM {source} e LEFT JOIN ({mates}) x ON e.a = x.u LEFT JOIN ({mates}) y ON e.b = y.u)"""
+
+
 def contract(edges: DataFrame, seed: int = 17) -> DataFrame:
     """(vertex, root) for each vertex of ``edges`` (a, b): vertices have the same root if and only if a path joins them.
 
     In each round every vertex tosses a coin, a hash of its id and the round. A vertex with tails that has a neighbour
     with heads collapses into the smallest such neighbour; the edges follow by two joins, loops and repeats vanish.
-    A quarter of the vertices that still have edges is expected to go in each round. When no edge is left, the maps of
-    the rounds are unwound, the last first. Loops, repeats and either order of an edge do no harm; rows with a null
-    are dropped. Hubs: the choice of a neighbour is aggregated before its shuffle, and the two joins keep the hub's
-    edges on the side that adaptive execution splits.
+    A quarter of the vertices that still have edges is expected to go in each round. A round is one job, which writes its
+    edges and counts them. When no edge is left, the rounds' maps, which follow from these tables, are unwound: a vertex points to one
+    that collapsed in a later round, or to a root, so pointers are doubled log2(rounds) times. Loops, repeats and either order of an
+    edge do no harm; rows with a null are dropped. Hubs: the choice of a neighbour is aggregated before its shuffle, and the joins
+    keep the hub's rows on the side that adaptive execution splits.
     """
-    a, b = F.col("a"), F.col("b")
-
-    def clean(e: DataFrame) -> DataFrame:
-        e = e.filter(a.isNotNull() & b.isNotNull() & (a != b))
-        return e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    left = cut(clean(edges), "edges")
-    maps: list[DataFrame] = []
-    while not left.isEmpty():
-        heads = lambda c: F.xxhash64(c, F.lit(seed), F.lit(len(maps))).bitwiseAND(1) == 1  # noqa: B023, E731
-        both = left.select(a.alias("u"), b.alias("v")).unionByName(left.select(b.alias("u"), a.alias("v")))
-        into = cut(both.filter(~heads("u") & heads("v")).groupBy("u").agg(F.min("v").alias("to")), "mates")
-        maps.append(into)
-        one = left.join(into.select(F.col("u").alias("a"), F.col("to").alias("a2")), "a", "left")
-        two = one.join(into.select(F.col("u").alias("b"), F.col("to").alias("b2")), "b", "left")
-        left = cut(clean(two.select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))), "edges")
-
-    kind = edges.schema["a"].dataType.simpleString()
-    done = [edges.sparkSession.createDataFrame([], f"vertex {kind}, root {kind}")]
-    for into in reversed(maps):
-        known = reduce(DataFrame.unionByName, done).select(F.col("vertex").alias("to"), "root")
-        done.append(cut(into.join(known, "to", "left").select(F.col("u").alias("vertex"), F.coalesce("root", "to").alias("root")), "roots"))
-    collapsed = cut(reduce(DataFrame.unionByName, done), "collapsed")
-    roots = collapsed.select(F.col("root").alias("vertex"), F.col("root")).distinct().join(collapsed.select("vertex"), "vertex", "left_anti")
-    return collapsed.unionByName(roots)
+    spark, kind = edges.sparkSession, edges.schema["a"].dataType.simpleString()
+    mates = lambda source, n: MATES.format(source=source, seed=seed, round=n)
+    after = lambda source, n: EDGES.format(source=MOVED.format(source=source, mates=mates(source, n)))
+    rounds: list[DataFrame] = []
+    left, n = cut_counted(spark.sql(EDGES.format(source="{e}"), e=edges), "edges")
+    while n:
+        rounds.append(left)
+        left, n = cut_counted(spark.sql(after("{e}", len(rounds) - 1), e=left), "edges")
+    if not rounds:
+        return spark.createDataFrame([], f"vertex {kind}, root {kind}")
+    maps = [spark.sql(mates("{e}", i), e=e) for i, e in enumerate(rounds)]
+    roots = cut(reduce(DataFrame.unionByName, maps), "maps")
+    for _ in range(math.ceil(math.log2(len(rounds)))):
+        roots = cut(spark.sql("SELECT m.u, coalesce(n.to, m.to) AS to FROM {m} m LEFT JOIN {m} n ON m.to = n.u", m=roots), "maps")
+    return spark.sql("SELECT u AS vertex, to AS root FROM {m} UNION ALL SELECT DISTINCT to, to FROM {m}", m=roots)
 
 
 def related_groups(records: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
@@ -103,37 +102,30 @@ def assign_splits(groups: DataFrame, id_col: str, targets: DataFrame) -> DataFra
     """(id, group_id, split_name): each group in one split, the shares of records as close to ``targets`` as that allows.
 
     ``targets`` (split_name, target_share) has a few rows; shares of the same split add up, and are taken relative to
-    their sum. Groups above ``LARGE_SHARE`` of all records, at most its inverse in number, go one by one, the largest
-    first, to the split that lacks most. All others are put in the order of a hash and cut where their cumulative weight
-    passes what each split still lacks, so a split misses its share by at most one small group at each end, unless a
-    large group is bigger than any split has room for. With no groups there are no rows.
+    their sum. Groups are put in one order, by weight and then by a hash, and cut by cumulative weight: where the middle of a group
+    falls in a turn through the splits, the largest split first, tells its split. A turn has room for about ``TURN_GROUPS`` of the
+    largest group; there are several where that is little, so that groups of all sizes come to all splits, and one where it is more
+    than all. A split then misses its share by what its cuts take from groups, half a group at most. Ranges of the order are summed
+    in parallel. With no groups there are no rows.
     """
     sizes = cut(groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("weight")), "sizes")
-    total = sizes.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("n")).collect()[0].n
-    shares = {r.split_name: r.share for r in targets.groupBy("split_name").agg(F.sum("target_share").alias("share")).orderBy("split_name").collect()}
-    want = {s: total * x / sum(shares.values()) for s, x in shares.items()}
-    limit = LARGE_SHARE * total
-    placed: list[tuple] = []
-    for r in sizes.filter(F.col("weight") > limit).orderBy(F.desc("weight"), "group_id").collect():
-        split = max(want, key=lambda s: (want[s], s))
-        want[split] -= r.weight
-        placed.append((r.group_id, split))
-    room = {s: max(0.0, w) for s, w in want.items()}
-    kind = groups.schema["group_id"].dataType.simpleString()
-    large = groups.sparkSession.createDataFrame(placed, f"group_id {kind}, split_name string")
-
-    small = sizes.filter(F.col("weight") <= limit).withColumn("hash", F.xxhash64("group_id")).withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)))
-    sums = small.groupBy("bucket").agg(F.sum("weight").alias("of_bucket"))
-    before = sums.select("bucket", (F.sum("of_bucket").over(Window.orderBy("bucket")) - F.col("of_bucket")).alias("before"), F.sum("of_bucket").over(Window.partitionBy(F.lit(0))).alias("all"))
-    within = F.sum("weight").over(Window.partitionBy("bucket").orderBy("hash", "group_id").rowsBetween(Window.unboundedPreceding, 0))
-    place = (F.col("before") + within - F.col("weight") / 2) / F.col("all")
-    at, end, split = 0.0, sum(room.values()) or 1.0, F.lit(list(room)[-1] if room else None)
-    chain = None
-    for s in room:
-        at += room[s] / end
-        if room[s] > 0:
-            chain = (F.when if chain is None else chain.when)(F.col("place") < at, s)
-            split = F.lit(s)
-    chosen = split if chain is None else chain.otherwise(split)
-    some = small.join(F.broadcast(before), "bucket").withColumn("place", place).select("group_id", chosen.alias("split_name"))
-    return skew_join(groups, some.unionByName(large), "group_id").select(id_col, "group_id", "split_name")
+    total, most = sizes.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.coalesce(F.max("weight"), F.lit(1))).collect()[0]
+    shares = targets.groupBy("split_name").agg(F.sum("target_share").alias("share")).orderBy(F.desc("share"), "split_name").collect()
+    turn = F.lit(max(1, total) / max(1, total // (TURN_GROUPS * most)))
+
+    order = [F.desc("weight"), F.col("hash"), F.col("group_id")]
+    ranges = sizes.withColumn("hash", F.xxhash64("group_id")).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    ranges = cut(ranges, "ranges")
+    sums = ranges.groupBy("part").agg(F.sum("weight").alias("of_part"))  # one row for each range
+    before = sums.select("part", (F.sum("of_part").over(Window.orderBy("part")) - F.col("of_part")).alias("before"))
+    within = F.sum("weight").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    middle = F.col("before") + within - F.col("weight") / 2
+    place = middle / turn - F.floor(middle / turn)
+    at, all_, chosen = 0.0, sum(r.share for r in shares) or 1.0, F.lit(None).cast("string")
+    for r in shares:
+        at += r.share / all_
+        if r.share > 0:
+            chosen = F.coalesce(chosen, F.when(F.col("place") < at, r.split_name))
+    last = next((r.split_name for r in reversed(shares) if r.share > 0), None)
+    placed = ranges.join(F.broadcast(before), "part").withColumn("place", place).select("group_id", F.coalesce(chosen, F.lit(last)).alias("split_name"))
+    return skew_join(groups, cut(placed, "placed"), "group_id").select(id_col, "group_id", "split_name")
