@@ -16,12 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.session import cut
+from loomwork.operators.skew import skew_join
+from loomwork.session import cut, cut_counted
 
 #: Documents of a leaf, about, and residuals that one node of the tree takes in.
 LEAF_ROWS, FAN_IN = 20_000, 64
-#: Sources that a table of targets may list; with it, the rates are small enough to broadcast.
-MOST_SOURCES = 10_000
 
 
 def _draw(seed: int, a: object, b: object) -> float:
@@ -81,47 +80,41 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: float | None
     """
     slim = cut(documents.select("doc_id", "source", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens")), "sizes")
     sizes = slim.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-    rates = cut(source_rates(sizes, targets, total_tokens), "rates")
-    if rates.count() > MOST_SOURCES:
-        raise ValueError(f"targets lists more than {MOST_SOURCES} sources")
-    rate = F.col("rate") + F.lit(1e-12)
-    planned = slim.join(F.broadcast(rates.select("source", "rate")), "source").select(
-        "doc_id", "source", "n_tokens", F.when(F.col("n_tokens") > 0, F.floor(rate)).otherwise(0).cast("int").alias("whole"), (F.col("rate") - F.floor(rate)).alias("p")
-    )
-    planned = cut(planned, "planned")
-    open_ = planned.filter((F.col("n_tokens") > 0) & (F.col("p") > 1e-9))
-    leaves = max(1, math.ceil(open_.count() / leaf_rows))
+    rates = cut(source_rates(sizes, targets, total_tokens).select("source", "rate"), "rates")
+    whole = F.when(F.col("n_tokens") > 0, F.floor(F.col("rate") + F.lit(1e-12))).otherwise(0).cast("int")
+    planned = skew_join(slim, rates, "source").select("doc_id", "source", "n_tokens", whole.alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"))
+    planned, n = cut_counted(planned, "planned")
+    opened = (F.col("n_tokens") > 0) & (F.col("p") > 1e-9)
+    leaves = max(1, math.ceil(n / leaf_rows))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, source string, w bigint, p double, node bigint, extra int"
+    names = ["doc_id", "source", "n_tokens", "whole", "p", "node", "extra"]
+    schema = f"doc_id {kind}, source string, n_tokens bigint, whole int, p double, node bigint, extra int"
 
     def level(seed_of_level: int, last: bool):
         def run(frame: pd.DataFrame) -> pd.DataFrame:
+            """The documents of a node, of one source: those decided, and at most one with extra -1 that is not."""
             frame = frame.sort_values("doc_id")
-            source, node = frame["source"].iloc[0], int(frame["node"].iloc[0])
-            decided, rest = pivot(zip(frame["doc_id"].tolist(), frame["w"].tolist(), frame["p"].tolist()), seed_of_level)
+            source, node, copies = frame["source"].iloc[0], int(frame["node"].iloc[0]), int(frame["whole"].iloc[0])
+            tokens = dict(zip(frame["doc_id"].tolist(), frame["n_tokens"].tolist()))
+            decided, rest = pivot(((k, w, p) for (k, w), p in zip(tokens.items(), frame["p"].tolist())), seed_of_level)
             if rest is not None and last:
                 decided.append((rest[0], int(_draw(seed_of_level, rest[0], "last") < rest[2])))
                 rest = None
-            rows = [(k, source, 0, 0.0, node, x) for k, x in decided] + ([(*rest[:1], source, *rest[1:], node, -1)] if rest else [])
-            return pd.DataFrame(rows, columns=["doc_id", "source", "w", "p", "node", "extra"])
+            rows = [(k, source, tokens[k], copies, 0.0, node, x) for k, x in decided] + ([(rest[0], source, rest[1], copies, rest[2], node, -1)] if rest else [])
+            return pd.DataFrame(rows, columns=names)
 
         return run
 
-    nodes = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(leaves))
-    rows = open_.select("doc_id", "source", F.col("n_tokens").alias("w"), "p", nodes.alias("node"))
-    decisions, at = [], 0
+    rows = planned.filter(opened).withColumn("node", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(leaves))).withColumn("extra", F.lit(-1))
+    out, at = planned.filter(~opened).select("doc_id", "source", "n_tokens", F.col("whole").alias("copies")), 0
     while True:
         done = cut(rows.groupBy("source", "node").applyInPandas(level(seed + at, leaves == 1), schema), f"level{at}")
-        decisions.append(done.filter(F.col("extra") >= 0).select("doc_id", "extra"))
+        decided = done.filter(F.col("extra") >= 0).select("doc_id", "source", "n_tokens", (F.col("whole") + F.col("extra")).alias("copies"))
+        out = out.unionByName(decided)
         if leaves == 1:
-            break
+            return out
         leaves, at = math.ceil(leaves / FAN_IN), at + 1
-        rows = done.filter(F.col("extra") < 0).select("doc_id", "source", "w", "p", F.floor(F.col("node") / FAN_IN).cast("bigint").alias("node"))
-    extra = decisions[0]
-    for more in decisions[1:]:
-        extra = extra.unionByName(more)
-    out = planned.join(extra, "doc_id", "left")
-    return out.select("doc_id", "source", "n_tokens", (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"))
+        rows = done.filter(F.col("extra") < 0).withColumn("node", F.floor(F.col("node") / FAN_IN).cast("bigint"))
 
 
 def mixture_shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -121,8 +121,7 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     documents, targets = read(spark, folder, "documents"), read(spark, folder, "mix_targets")
-    sizes = tokens.encode_corpus(documents).select("doc_id", F.size("ids").alias("n_tokens"))
-    return mixing.mixture(documents.select("doc_id", "source").join(sizes, "doc_id"), targets), targets
+    return mixing.mixture(tokens.token_counts(documents, ["doc_id", "source"]), targets), targets
 
 
 def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,10 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.session import wide
+from loomwork.session import cut, wide
 
-#: Characters of a piece; texts up to that length are encoded in one go.
-PIECE_CHARS = 20_000
+#: Characters of a piece; texts up to that length are one piece. Pieces of a text that one task joins at a time.
+PIECE_CHARS, FAN_IN = 20_000, 64
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -153,22 +153,26 @@ def _is_long(text: str, piece_chars: int):
     return F.length(text) > piece_chars
 
 
-def encode_corpus(documents: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None, piece_chars: int = PIECE_CHARS) -> DataFrame:
+def encode_corpus(documents: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None, piece_chars: int = PIECE_CHARS, counts: bool = False, fan_in: int = FAN_IN) -> DataFrame:
     """(id, ids): the token ids of each document's whole text, without special tokens; [] for an empty or null text.
 
     Each row has its result, also rows that repeat an id or have none. ``path`` names the file of ranks, the same on
-    every machine.
+    every machine. With ``counts`` the result is (id, n_tokens). The pieces of a text are joined in a tree, ``fan_in`` of them in
+    a task, and what comes of these in other tasks, so no task has to join a whole long text.
     """
     path = path or vocabulary_path()
     kind = documents.schema[id_col].dataType.simpleString()
     slim = documents.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    schema = f"id {kind}, ids array<int>"
+    schema = f"id {kind}, " + ("n_tokens int" if counts else "ids array<int>")
+
+    def result(keys: pa.Array, ids: list[list[int]]) -> pa.RecordBatch:
+        values = pa.array([len(x) for x in ids], pa.int32()) if counts else pa.array(ids, pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([keys, values], ["id", "n_tokens" if counts else "ids"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for batch in batches:
-            ids = pa.array([e.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
+            yield result(batch.column(0), [e.encode(t) for t in batch.column(1).to_pylist()])
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,26 +190,43 @@ def encode_corpus(documents: DataFrame, id_col: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], ["id", "row", "piece", "ids", "counts"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, now, held = encoder(path), None, []
+        """Neighbours of a block, which come one after the other, as one piece; its number is that of the block."""
+        e, now, key, held = encoder(path), None, None, []
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([now[0], pa.array([e.join_all(held).ids], pa.list_(pa.int32()))], ["id", "ids"])
+            one = e.join_all(held)
+            numbers = [pa.array([now[0]], pa.int64()), pa.array([now[1]], pa.int32())]
+            return pa.RecordBatch.from_arrays([key, *numbers, *(pa.array([x], pa.list_(pa.int32())) for x in (one.ids, one.counts))], ["id", "row", "piece", "ids", "counts"])
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for i, (key, row, at, ids, counts) in enumerate(zip(*columns)):
-                if at == 0:
+            columns = [batch.column(i).to_pylist() for i in range(1, 5)]
+            for i, (row, at, ids, counts_) in enumerate(zip(*columns)):
+                if (row, at // fan_in) != now:
                     if now is not None:
                         yield out()
-                    now, held = (batch.column(0).slice(i, 1),), []
-                held.append(Piece(ids, counts))
+                    now, key, held = (row, at // fan_in), batch.column(0).slice(i, 1), []
+                held.append(Piece(ids, counts_))
         if now is not None:
             yield out()
 
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield result(batch.column(0), batch.column(3).to_pylist())
+
     short = slim.filter(F.coalesce(~_is_long("text", piece_chars), F.lit(True))).mapInArrow(whole, schema)
     long = slim.filter(_is_long("text", piece_chars)).withColumn("row", F.monotonically_increasing_id())
     parts = long.mapInArrow(cut_up, f"id {kind}, row bigint, piece int, text string")
-    encoded = wide(parts, "id", "row", "piece").mapInArrow(pieces, f"id {kind}, row bigint, piece int, ids array<int>, counts array<int>")
-    ordered = wide(encoded, "id", "row").sortWithinPartitions("id", "row", "piece")
-    long_ids = ordered.mapInArrow(joined, schema)
-    return short.unionByName(long_ids).withColumnRenamed("id", id_col)
+    cells = f"id {kind}, row bigint, piece int, ids array<int>, counts array<int>"
+    level = cut(wide(parts, "row", "piece").mapInArrow(pieces, cells), "pieces")
+    most = level.agg(F.coalesce(F.max("piece"), F.lit(0)).alias("most")).collect()[0].most
+    while most > 0:
+        block = F.floor(F.col("piece") / fan_in)
+        level = wide(level.withColumn("block", block), "row", "block").sortWithinPartitions("row", "piece").drop("block").mapInArrow(joined, cells)
+        most //= fan_in
+    return short.unionByName(level.mapInArrow(finished, schema)).withColumnRenamed("id", id_col)
+
+
+def token_counts(documents: DataFrame, keep: list[str], text: str = "text", path: str | None = None) -> DataFrame:
+    """(columns ``keep``, n_tokens): how many tokens each document's text has, beside other columns of its row."""
+    rows = documents.select(F.struct(*keep).alias("id"), F.col(text).alias("text"))
+    return encode_corpus(rows, "id", "text", path, counts=True).select("id.*", "n_tokens")

@@ -30,8 +30,12 @@ def test_corpus(spark):
     texts = [None, "", " ", "<|endoftext|> is text", "x" * 5000, "word " * 3000, "déjà vu\r\n" * 900, "short", "short"]
     rows = [(i, t, "c") for i, t in enumerate(texts)] + [(None, "no id", "c"), (4, "y" * 4001, "c")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
-    got = sorted(((r.doc_id, r.ids) for r in tokens.encode_corpus(df, piece_chars=700).collect()), key=str)
-    assert got == sorted(((i, ENCODER.encode(t)) for i, t, _ in rows), key=str)
+    want = sorted(((i, ENCODER.encode(t)) for i, t, _ in rows), key=str)
+    for fan_in in (2, 64):
+        got = sorted(((r.doc_id, r.ids) for r in tokens.encode_corpus(df, piece_chars=700, fan_in=fan_in).collect()), key=str)
+        assert got == want
+    counts = tokens.token_counts(df, ["doc_id", "ids"]).collect()
+    assert sorted(((r.doc_id, r.ids, r.n_tokens) for r in counts), key=str) == sorted(((i, c, len(ENCODER.encode(t))) for i, t, c in rows), key=str)
     assert tokens.encode_corpus(df.filter("false")).count() == 0
 
 
