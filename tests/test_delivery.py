@@ -49,17 +49,17 @@ def test_shards_hold_what_single_files_hold(spark, tmp_path, monkeypatch):
     for name, most in (("SINGLE", 32), ("SHARD", 32), ("SINGLE_CSV", 1)):
         monkeypatch.setattr(matrix, name, most)
     run.deliver(given, tmp_path / "parts")
-    for name in ("cls/cls_T11_x.npz", "reg/reg_T11_x.npz", "cls/cls_T10_y.npz", "reg/reg_T10_y.npz", "reg/reg_T10_censor_y.npz"):
+    for name in ("wo_aux/cls/cls_T11_x.npz", "wo_aux/reg/reg_T11_x.npz", "wo_aux/cls/cls_T10_y.npz", "wo_aux/reg/reg_T10_y.npz", "wo_aux/reg/reg_T10_censor_y.npz"):
         assert not (tmp_path / "parts" / name).exists()
         assert np.array_equal(dense(tmp_path / "single" / name), dense(tmp_path / "parts" / name))
-    folds = sorted((tmp_path / "parts/cls/cls_T11_fold_vector.npy.shards").glob("*.npy"))
-    assert np.concatenate([np.load(f) for f in folds]).tolist() == np.load(tmp_path / "single/cls/cls_T11_fold_vector.npy").tolist() == [r % 5 for r in range(50)]
-    lines = [f.read_text().splitlines()[1:] for f in sorted((tmp_path / "parts/reg/reg_weights.csv.shards").glob("*.csv"))]
-    assert sum(lines, []) == (tmp_path / "single/reg/reg_weights.csv").read_text().splitlines()[1:] == ["0,OTHER,0.5", "1,ADME,"]
+    folds = sorted((tmp_path / "parts/wo_aux/cls/cls_T11_fold_vector.npy.shards").glob("*.npy"))
+    assert np.concatenate([np.load(f) for f in folds]).tolist() == np.load(tmp_path / "single/wo_aux/cls/cls_T11_fold_vector.npy").tolist() == [r % 5 for r in range(50)]
+    lines = [f.read_text().splitlines()[1:] for f in sorted((tmp_path / "parts/wo_aux/reg/reg_weights.csv.shards").glob("*.csv"))]
+    assert sum(lines, []) == (tmp_path / "single/wo_aux/reg/reg_weights.csv").read_text().splitlines()[1:] == ["0,OTHER,0.5", "1,ADME,"]
     with pytest.raises(ValueError, match="at most 32"):
         matrix.save_npz(given["x"], tmp_path / "x.npz", (50, 10), "int8")
     pipeline.copy_delivery(tmp_path / "parts", tmp_path / "ready")
-    (tmp_path / "parts/reg/reg_T11_x.npz.shards/000000.npz").unlink()
+    (tmp_path / "parts/wo_aux/reg/reg_T11_x.npz.shards/000000.npz").unlink()
     shutil.rmtree(tmp_path / "ready")
     with pytest.raises(ValueError, match="missing ..000000.npz"):
         pipeline.copy_delivery(tmp_path / "parts", tmp_path / "ready")
@@ -68,8 +68,8 @@ def test_shards_hold_what_single_files_hold(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("n", [0, 1])
 def test_no_row_and_one_row(spark, tmp_path, n):
     pipeline.Run(spark, str(tmp_path), "r", Config(fold_size=10)).deliver(tables(spark, n), tmp_path / "out")
-    assert np.load(tmp_path / "out/cls/cls_T11_x.npz")["shape"].tolist() == [n, 10]
-    assert dense(tmp_path / "out/reg/reg_T10_y.npz").shape == (n, 2) and len(np.load(tmp_path / "out/reg/reg_T11_fold_vector.npy")) == n
+    assert np.load(tmp_path / "out/wo_aux/cls/cls_T11_x.npz")["shape"].tolist() == [n, 10]
+    assert dense(tmp_path / "out/wo_aux/reg/reg_T10_y.npz").shape == (n, 2) and len(np.load(tmp_path / "out/wo_aux/reg/reg_T11_fold_vector.npy")) == n
 
 
 def test_a_vector_without_a_fold_is_an_error(spark, tmp_path):

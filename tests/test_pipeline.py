@@ -59,11 +59,32 @@ def test_activity_run(spark, inputs, tmp_path):
     cli.main(["prepare_activity_data", *args], spark)
     report = json.loads((tmp_path / "run/run_report.json").read_text())["rows"]
     assert report["T4r"] == 299 * 4 and report["T10r"] > 0 and report["T8r"] == 4 and report["X"] == 3 * 299
-    x, y = np.load(tmp_path / "out/cls/cls_T11_x.npz"), np.load(tmp_path / "out/cls/cls_T10_y.npz")
+    x, y = np.load(tmp_path / "out/wo_aux/cls/cls_T11_x.npz"), np.load(tmp_path / "out/wo_aux/cls/cls_T10_y.npz")
     assert len(x["data"]) == report["X"] and x["shape"].tolist() == [299, 32000] and set(np.unique(y["data"])) <= {-1.0, 1.0}
-    assert np.load(tmp_path / "out/reg/reg_T11_fold_vector.npy").tolist() == [i % 5 for i in range(299)]
-    cli.main(["make_delivery", "--source", f"{tmp_path}/out", "--target", f"{tmp_path}/ready"])
-    (tmp_path / "out/cls/more.txt").write_text("")
+    assert np.load(tmp_path / "out/wo_aux/reg/reg_T11_fold_vector.npy").tolist() == [i % 5 for i in range(299)]
+    assert json.loads((tmp_path / "run/run_report.json").read_text())["fraction_censored_reg"] > 0
+    hybrid = {p.name for p in (tmp_path / "out/wo_aux/hyb").iterdir()}
+    assert hybrid == set(pipeline.DELIVERY["hyb"].values()) and (np.load(tmp_path / "out/wo_aux/hyb/hyb_T11_x.npz")["data"] == x["data"]).all()
+    cli.main(["make_delivery", "--source", f"{tmp_path}/out", "--target", f"{tmp_path}/ready", "--phase", "phase2"])
+    assert {p.name for p in (tmp_path / "ready").iterdir()} == {"cls_phase2", "reg_phase2", "hyb_phase2"}
+
+    # The same stages one by one, on the files of those before them, give the same tables.
+    base, at = [f"--output={tmp_path}", "--name=steps", f"--parameters={tmp_path}/p.json"], f"{tmp_path}/steps/results"
+    for command, *given in (
+        ("agg_activity_data", *args[:6]),
+        ("apply_thresholding", f"--assays={at}/T0_upd", f"--activities={at}/T4r"),
+        ("filter_classification_data", f"--tasks={at}/T3c", f"--labels={at}/T4c"),
+        ("filter_regression_data", f"--assays={at}/T0_upd", f"--activities={at}/T4r"),
+        ("make_matrices", "--features", f"{inputs}/T6.csv", f"--classification_rows={at}/T10c", f"--regression_rows={at}/T10r", f"--classification_tasks={at}/T8c", f"--regression_tasks={at}/T8r", f"--delivery={tmp_path}/aux", "--auxiliary=yes"),
+    ):
+        cli.main([command, *given, *base], spark)
+    for name in ("T4r", "T8r", "T10c", "T10r", "X", "Y_cls", "Y_reg", "censor"):
+        one, two = (sorted(map(str, spark.read.parquet(f"{tmp_path}/{r}/results/{name}").collect())) for r in ("run", "steps"))
+        assert one == two
+    assert {p.name for p in (tmp_path / "aux/w_aux/clsaux").iterdir()} == set(pipeline.DELIVERY["clsaux"].values())
+    with pytest.raises(Exception, match="(?i)already exists"):
+        cli.main(["filter_regression_data", f"--assays={at}/T0_upd", f"--activities={at}/T4r", *base], spark)
+    (tmp_path / "out/wo_aux/cls/more.txt").write_text("")
     with pytest.raises(ValueError, match="additional"):
         pipeline.copy_delivery(tmp_path / "out", tmp_path / "ready2")
 
@@ -87,6 +108,10 @@ def test_parameters_and_hash(tmp_path):
     assert c.ranges == {"ADME": (0, 1)} and c.min_std == 0.5 and c.fold_size == 10 and c.key == "secret" and c.hts_threshold == Config().hts_threshold
     one = pipeline.reference_hash(tmp_path / "p.json", {"a": 1}, {"key": "x"})
     assert one == pipeline.reference_hash(tmp_path / "p.json", {"a": 1}, {"key": "x"}) != pipeline.reference_hash(tmp_path / "p.json", {"a": 2}, {"key": "x"})
+    (tmp_path / "h.json").write_text(json.dumps({"unit_test_hash": one}))
+    pipeline.compare_reference_hash(one, tmp_path / "h.json")
+    with pytest.raises(ValueError, match="reference hash"):
+        pipeline.compare_reference_hash("0" * 64, tmp_path / "h.json")
 
 
 def test_stream(spark, tmp_path):
