@@ -283,6 +283,23 @@ def scaffold_folds(spark, folder):
     return keyed.keyed_folds(rows, "sn_smiles", CONFIG.key, CONFIG.nfolds)
 
 
+def _fold_check(folds: DataFrame, text: str) -> DataFrame:
+    """(text, n_rows, n_folds, in_range): each text has one fold, of those there are."""
+    ok = F.min((F.col("fold_id") >= 0) & (F.col("fold_id") < CONFIG.nfolds)).alias("in_range")
+    return folds.groupBy(F.coalesce(text, F.lit("None")).alias("text")).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("fold_id").alias("n_folds"), ok)
+
+
+@query
+def scaffold_fold_check(spark, folder):
+    return _fold_check(scaffold_folds(spark, folder), "sn_smiles")
+
+
+@query
+def lsh_fold_check(spark, folder):
+    """The folds of the texts of ``lsh_bits``."""
+    return _fold_check(lsh_folds(spark, folder), "lsh")
+
+
 @query
 def informative_bits(spark, folder):
     t6 = packed.unpack(read(spark, folder, "test_calculate_desc_t6").dropDuplicates(["descriptor_vector_id"]), ["descriptor_vector_id"], ["fp_feat"])
@@ -744,3 +761,7 @@ HAVING count(*) FILTER (class_label = -1) >= 5 AND count(*) FILTER (class_label
     + """SELECT classification_task_id, fold_id, count(*) FILTER (class_label = -1) AS n_inactive, count(*) FILTER (class_label = 1) AS n_active
 FROM (SELECT * FROM (SELECT DISTINCT classification_task_id FROM t4c), (SELECT DISTINCT fold_id FROM t4c)) LEFT JOIN t4c USING (classification_task_id, fold_id) GROUP BY 1, 2""",
 }
+
+SQL["scaffold_fold_check"] = """SELECT coalesce(sn_smiles, 'None') AS text, count(*) AS n_rows, 1 AS n_folds, TRUE AS in_range
+FROM (SELECT DISTINCT input_compound_id, sn_smiles FROM test_desc_duplicates WHERE success) GROUP BY 1"""
+SQL["lsh_fold_check"] = f"SELECT lsh AS text, count(*) AS n_rows, 1 AS n_folds, TRUE AS in_range FROM ({SQL['lsh_bits']}) GROUP BY 1"
