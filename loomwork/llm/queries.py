@@ -143,9 +143,54 @@ def p10_units(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentence_units(read(spark, folder, "documents"))
 
 
+def p2_split_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(split_name, target_share, n_compounds, n_torn, met): all compounds there are, groups that lie in several splits, and
+    whether the split has its share of compounds but for 1 %, or for what the largest group takes."""
+    placed = cut(p2_splits(spark, folder), "placed")
+    groups = placed.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("split_name").alias("k"))
+    sums = groups.agg(F.sum("n").alias("n_compounds"), F.count_if(F.col("k") > 1).alias("n_torn"), F.max("n").alias("most"))
+    sums = cut(sums, "sums")  # one row
+    n, torn, most = (sums.select(c).scalar() for c in ("n_compounds", "n_torn", "most"))
+    sizes = placed.groupBy("split_name").agg(F.count(F.lit(1)).alias("of_split"))
+    targets = read(spark, folder, "fold_splits").groupBy("split_name").agg(F.sum("target_share").alias("target_share")).join(sizes, "split_name", "left")
+    met = F.abs(F.coalesce("of_split", F.lit(0)) / n - F.col("target_share")) <= F.greatest(F.lit(0.01), most / n)
+    return targets.select("split_name", F.round("target_share", 9).alias("target_share"), n.alias("n_compounds"), torn.alias("n_torn"), met.alias("met"))
+
+
+def p6_merge_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(input_assay_id, share, n_values, same): whether the sketches of the years, added up, give what one of all rows gives."""
+    columns = ["input_assay_id", "share", "n_values"]
+    years, whole = p6_merged_years(spark, folder), _overall(spark, folder)
+    both = years.withColumnRenamed("value", "of_years").join(whole.select(*columns, "value"), columns)
+    return both.select(*columns, (F.col("of_years") == F.col("value")).alias("same"))
+
+
+def p8_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, n_bytes): bytes of the text that each document's ids decode to."""
+    return tokens.decoded_sizes(p8_ids(spark, folder), "doc_id")
+
+
+def p9_use_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, n_docs, kept): documents of each source of the mixture, and whether none is used more often than it may be."""
+    mixed, targets = _mixed(spark, folder)
+    used = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.max("copies").alias("most"), F.min("copies").alias("least"))
+    limits = targets.groupBy("source").agg(F.max("max_repeats").alias("max_repeats"))
+    return used.join(limits, "source").select("source", "n_docs", ((F.col("most") <= F.col("max_repeats")) & (F.col("least") >= 0)).alias("kept"))
+
+
+def p10_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, n_units_ok, n_letters): whether units follow each other, and how many plain letters and digits they hold."""
+    found = cut(p10_found(spark, folder), "units")
+    texts = read(spark, folder, "documents").select("doc_id", "text")
+    part = F.substring("text", F.col("start_pos") + 1, F.col("end_pos") - F.col("start_pos"))
+    each = found.join(texts, "doc_id").select("doc_id", "start_pos", "end_pos", F.length(F.regexp_replace(part, "[^A-Za-z0-9]", "")).alias("n"))
+    sums = each.groupBy("doc_id").agg(F.sum("n").alias("n_letters"), (F.count(F.lit(1)) == F.countDistinct("start_pos")).alias("n_units_ok"))
+    return sums.filter("n_letters > 0").select("doc_id", "n_units_ok", "n_letters")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_splits, p2_split_shares, p5_found, p5_report, p6_percentiles, p6_merged_years, p6_rank_check, p8_ids, p9_mixture, p9_shares, p10_found, p10_units)
+    for f in (p1_found, p1_counts, p2_found, p2_splits, p2_split_shares, p5_found, p5_report, p6_percentiles, p6_merged_years, p6_rank_check, p8_ids, p9_mixture, p9_shares, p10_found, p10_units, p2_split_check, p6_merge_check, p8_decoded, p9_use_check, p10_cover)
 }
 
 _P1 = r"""
@@ -207,6 +252,17 @@ SQL = {
     + """, names AS (SELECT DISTINCT input_compound_id, lower(trim(company)) AS company FROM test_desc_duplicates),
 each AS (SELECT DISTINCT id, split_name, company FROM sets LEFT JOIN names USING (input_compound_id) WHERE side = 'r')
 SELECT split_name, company, count(*) AS n_vectors, count(*) FILTER (id IN (SELECT r FROM pairs)) AS n_overlapping FROM each GROUP BY 1, 2""",
+    "p2_split_check": _P2
+    + """SELECT split_name, round(sum(target_share), 9) AS target_share, (SELECT count(*) FROM grouped) AS n_compounds, 0 AS n_torn, TRUE AS met FROM fold_splits GROUP BY 1""",
+    "p6_merge_check": """
+SELECT input_assay_id, share, count(*) AS n_values, TRUE AS same
+FROM t1, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]::DOUBLE[]) AS share)
+WHERE input_assay_id IS NOT NULL AND isfinite(standard_value) GROUP BY 1, 2""",
+    "p8_decoded": "SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes FROM documents",
+    "p9_use_check": "SELECT source, count(*) AS n_docs, TRUE AS kept FROM documents WHERE source IN (SELECT source FROM mix_targets) GROUP BY 1",
+    "p10_cover": """
+SELECT doc_id, TRUE AS n_units_ok, length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) AS n_letters
+FROM documents WHERE doc_id IN (SELECT doc_id FROM sentence_docs) AND regexp_matches(text, '[A-Za-z0-9]')""",
     "p6_rank_check": """
 SELECT input_assay_id, share, count(*) AS n_values, TRUE AS kept
 FROM t1, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]::DOUBLE[]) AS share)

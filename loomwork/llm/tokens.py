@@ -230,3 +230,16 @@ def token_counts(documents: DataFrame, keep: list[str], text: str = "text", path
     """(columns ``keep``, n_tokens): how many tokens each document's text has, beside other columns of its row."""
     rows = documents.select(F.struct(*keep).alias("id"), F.col(text).alias("text"))
     return encode_corpus(rows, "id", "text", path, counts=True).select("id.*", "n_tokens")
+
+
+def decoded_sizes(encoded: DataFrame, id_col: str, path: str | None = None) -> DataFrame:
+    """(id, n_bytes): how many bytes the ids of each row stand for."""
+    path = path or vocabulary_path()
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = {i: len(t) for i, t in encoder(path).tokens.items()}
+        for batch in batches:
+            found = [sum(map(of.__getitem__, ids)) for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], [id_col, "n_bytes"])
+
+    return encoded.select(id_col, "ids").mapInArrow(sizes, f"{id_col} {encoded.schema[id_col].dataType.simpleString()}, n_bytes bigint")
