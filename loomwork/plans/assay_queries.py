@@ -99,7 +99,9 @@ class Stages:
         return read(self.spark, self.folder, "test_calculate_desc_t6").filter("descriptor_vector_id IS NOT NULL")
 
     def continuous(self, which: int) -> DataFrame:
-        return matrix.continuous(packed.unpack(self.t6().distinct(), ["descriptor_vector_id", "fold_id"], ["fp_feat", "fp_val"]), self.t10c(), self.t10r())[which]
+        # Features are parsed for X and folds only.
+        t6 = packed.unpack(self.t6().distinct(), ["descriptor_vector_id", "fold_id"], ["fp_feat", "fp_val"]) if which == 0 else self.t6()
+        return matrix.continuous(t6, self.t10c(), self.t10r())[which]
 
 
 QUERIES: dict = {}
