@@ -25,7 +25,7 @@ from loomwork.session import wide
 BITS = 28
 VALUE_ERROR = 2.0**-16
 #: Counters in a row of a Count-sketch, and rows; intervals that are counted exactly.
-WIDTH, ROWS, EXACT = 256, 5, 512
+WIDTH, ROWS, EXACT = 384, 5, 512
 #: Rows of a task that are counted together before its sketches are made, and distinct (group, code) that it holds.
 TOGETHER, HELD = 1 << 20, 1 << 21
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
