@@ -101,9 +101,8 @@ def threshold_list(config: Config = Config()) -> Column:
 def catalog_experts(t0: DataFrame, t_cat: DataFrame) -> DataFrame:
     """T0 in which all catalog assays have the expert thresholds of the first row of the catalog, by its ids."""
     first = t_cat.groupBy().agg(F.min(F.struct("catalog_assay_id", "catalog_task_id", *EXPERTS)).alias("first"))
-    experts = {c: first.select(f"first.{c}").scalar() for c in EXPERTS}
     catalog = F.col("assay_type") == "CATALOG-PANEL"
-    return t0.withColumns({c: F.when(catalog, e).otherwise(F.col(c)) for c, e in experts.items()})
+    return t0.withColumn("__first", first.scalar()).withColumns({c: F.when(catalog, F.col(f"__first.{c}")).otherwise(F.col(c)) for c in EXPERTS}).drop("__first")
 
 
 def tasks(t0_updated: DataFrame, t4r: DataFrame, t_cat: DataFrame, config: Config = Config()) -> DataFrame:

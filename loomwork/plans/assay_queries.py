@@ -36,7 +36,7 @@ def _catalog(t0: DataFrame) -> DataFrame:
     """A catalog: for each catalog assay with thresholds of its own, tasks at the thresholds of the first of them."""
     known = t0.filter(F.col("catalog_assay_id").isNotNull() & F.col("expert_threshold_1").isNotNull())
     first = known.groupBy().agg(F.min(F.struct("catalog_assay_id", *EXPERTS)).alias("first"))
-    each = known.select("catalog_assay_id").distinct().withColumns({c: first.select(f"first.{c}").scalar() for c in EXPERTS})
+    each = known.select("catalog_assay_id").distinct().withColumn("first", first.scalar()).select("catalog_assay_id", *[F.col(f"first.{c}").alias(c) for c in EXPERTS])
     rows = each.select("*", F.explode(F.array(*EXPERTS)).alias("threshold")).filter("threshold IS NOT NULL")
     return ids.with_dense_id(rows.withColumn("threshold_method", F.lit("expert")), ["catalog_assay_id", "threshold"], "catalog_task_id", 1)
 
@@ -75,7 +75,10 @@ class Stages:
         return self._keep("t4r", lambda: self._settled().t4r())
 
     def t3c(self) -> DataFrame:
-        return self._keep("t3c", lambda: threshold.tasks(self.t0(), self.t4r(), _catalog(_t0(self.spark, self.folder)), CONFIG))
+        return self._keep("t3c", lambda: threshold.tasks(self.t0(), self.t4r(), self.catalog(), CONFIG))
+
+    def catalog(self) -> DataFrame:
+        return self._keep("catalog", lambda: _catalog(_t0(self.spark, self.folder)))
 
     def t4c(self) -> DataFrame:
         return self._keep("t4c", lambda: threshold.labels(self.t3c(), self.t4r()))
