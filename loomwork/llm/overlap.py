@@ -23,6 +23,8 @@ from loomwork.session import cut
 
 #: Pairs that one block may propose before its members are parted by a second fingerprint of their other features.
 BLOCK_PAIRS = 20_000
+#: Members of a class that one task spreads its pairs to.
+MEMBERS = 100_000
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -168,6 +170,20 @@ def set_classes(rows: DataFrame, id_col: str, side: str) -> tuple[DataFrame, Dat
     return numbered.drop("content"), members
 
 
+def _spread(pairs: DataFrame, members: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with ``id_side`` instead of ``class_side``: a row for each member of the class on that side.
+
+    The members of a class are parted by a salt into groups of about ``MEMBERS``, and its pairs go to each of these, so a class that
+    holds most ids isn't one task.
+    """
+    key, salts = f"class_{side}", f"n_{side}"
+    of_side = members.filter(F.col("side") == side).select(F.col("class_id").alias(key), F.col("id").alias(f"id_{side}"))
+    sizes = cut(of_side.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias(salts)), "sizes")
+    salted = skew_join(of_side, sizes, key).withColumn("salt", F.pmod(F.xxhash64(f"id_{side}"), F.col(salts)).cast("int")).drop(salts)
+    wanted = pairs.join(sizes, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col(salts) - 1))).drop(salts)
+    return wanted.join(salted, [key, "salt"]).drop(key, "salt")
+
+
 def cross_split_pairs(rows: DataFrame, id_col: str, side: str, similarity: float = 0.85) -> DataFrame:
     """(id_a, id_b), the smaller first: ids, one on side l and one on side r, whose ``features`` are that similar.
 
@@ -175,9 +191,8 @@ def cross_split_pairs(rows: DataFrame, id_col: str, side: str, similarity: float
     found once and only then spread to their members, as the result has a row for each pair of ids.
     """
     classes, members = set_classes(rows, id_col, side)
-    pairs = cut(class_pairs(classes, similarity), "pairs")
-    of = lambda s: members.filter(F.col("side") == s).select(F.col("class_id").alias(f"class_{s}"), F.col("id").alias(f"id_{s}"))
-    ids = pairs.join(of("l"), "class_l").join(of("r"), "class_r").filter(F.col("id_l") != F.col("id_r"))
+    pairs, members = cut(class_pairs(classes, similarity), "pairs"), cut(members, "members")
+    ids = _spread(_spread(pairs, members, "l"), members, "r").filter(F.col("id_l") != F.col("id_r"))
     return ids.select(F.least("id_l", "id_r").alias("id_a"), F.greatest("id_l", "id_r").alias("id_b")).distinct()
 
 
